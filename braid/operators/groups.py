@@ -1,0 +1,47 @@
+"""Groups that hold too many rows for one task, cut into ordered slices.
+
+A SQL window keeps all rows of a group in one task. These two functions let a window query treat its
+few huge groups apart: cut each into slices along the window's order, work within slices, and carry
+totals from slice to slice.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from braid.shared import written
+
+# Rows that one task sorts with ease.
+ROWS_PER_TASK = 5_000_000
+
+
+def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    """Equality on all columns, with null equal to null as in grouping."""
+    return reduce(Column.__and__, [left[column].eqNullSafe(right[column]) for column in columns])
+
+
+def split_large_groups(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of groups with at most ``limit`` rows, and the rows of all others (``None`` if there are none)."""
+    if df.count() <= limit:
+        return df, None
+    large = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit).select(*keys)
+    # At most rows / limit groups are this large, so the written list stays small; Spark sees its true
+    # size and broadcasts it only below its own threshold.
+    large = written(large, "large_groups")
+    if large.isEmpty():
+        return df, None
+    return df.join(large, same(df, large, keys), "left_anti"), df.join(large, same(df, large, keys), "left_semi")
+
+
+def number_slices(df: DataFrame, keys: list[str], order: list[Column], limit: int) -> DataFrame:
+    """The same rows with a ``slice`` number that grows along ``order`` within each group.
+
+    ``order`` has to tell all rows of a group apart; then a slice has about ``limit`` rows however
+    the groups are skewed. The slices are written once: a range cut drawn again could fall elsewhere.
+    """
+    slices = -(-df.count() // limit)
+    cut = df.repartitionByRange(slices, *keys, *order).withColumn("slice", F.spark_partition_id())
+    return written(cut, "slices")
