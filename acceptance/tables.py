@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,6 +25,11 @@ def declared(schema: T.StructType) -> list[dict]:
     ]
 
 
+@functools.cache
+def declared_table(spark: SparkSession, sf_dir: str, name: str) -> list[dict]:
+    return declared(table(spark, sf_dir, name).schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,7 +56,7 @@ def copied(spark: SparkSession, sf_dir: str, name: str, kind: str, /, infer: boo
     spec["file-path"] = copy_of(spark, sf_dir, name, kind)
     spec["inferSchema"] = str(infer).lower()
     if not infer:
-        spec["schema"] = declared(table(spark, sf_dir, name).schema)
+        spec["schema"] = declared_table(spark, sf_dir, name)
     return spec
 
 
