@@ -20,15 +20,15 @@ ORDERS = "SALES.tpch.orders"
 
 
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, parquet(spark, sf_dir, "orders", datasource="SALES"))
+    return read_source(spark, parquet(spark, sf_dir, "orders"))
 
 
 def scan_csv_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, copied(spark, sf_dir, "orders", "csv", datasource="SALES"))
+    return read_source(spark, copied(spark, sf_dir, "orders", "csv"))
 
 
 def scan_json_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, copied(spark, sf_dir, "orders", "json", datasource="SALES"))
+    return read_source(spark, copied(spark, sf_dir, "orders", "json"))
 
 
 def _customer_inferred(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -48,14 +48,14 @@ def _named_by_path(spec: dict) -> dict:
     """The same input, with the datasource that its path scheme calls for."""
     path = spec["file-path"]
     source = "S3" if path.startswith(("s3a:", "s3:")) else "HDFS" if path.startswith("hdfs:") else "FILES"
-    return {key: value for key, value in spec.items() if key != "name"} | {"datasource": source}
+    return {**spec, "datasource": source, "config": {"type": source}}
 
 
 def scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table through three kinds of file source, each with another format."""
-    orders = parquet(spark, sf_dir, "orders", name="IN_PARQUET", datasource="PLAIN")
-    as_csv = copied(spark, sf_dir, "orders", "csv", name="IN_CSV", datasource="FILES")
-    as_json = copied(spark, sf_dir, "orders", "json", name="IN_JSON", datasource="HDFS")
+    orders = parquet(spark, sf_dir, "orders", name="IN_PARQUET")
+    as_csv = copied(spark, sf_dir, "orders", "csv", name="IN_CSV") | {"config": {"type": "files"}}
+    as_json = copied(spark, sf_dir, "orders", "json", name="IN_JSON") | {"config": {"type": "hdfs"}}
     sql = """
         SELECT 'local' AS via, * FROM IN_PARQUET UNION ALL
         SELECT 'files' AS via, * FROM IN_CSV UNION ALL
@@ -117,8 +117,6 @@ def bind_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files named by their paths, with dots for slashes."""
     orders = _named_by_path(parquet(spark, sf_dir, "orders"))
     customer = _named_by_path(copied(spark, sf_dir, "customer", "csv"))
-    if orders["datasource"] == "S3" or customer["datasource"] == "S3":
-        orders["config"], customer["config"] = {"type": "s3"}, {"type": "s3"}
     frames = load_inputs(spark, [orders, customer])
     first, second = frames
     kept = f"CASE WHEN '{first}' LIKE '%.orders.parquet' THEN 'as written' ELSE 'changed' END"

@@ -41,14 +41,14 @@ def window_rank(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) ->
 
 def rank_orders(spark: SparkSession, orders: DataFrame, limit: int) -> DataFrame:
     orders = orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
-    usual, large = split_large_groups(orders, ["o_custkey"], limit)
+    usual, large, rows = split_large_groups(orders, ["o_custkey"], limit)
     result = run_query(spark, {"SALES.tpch.orders": usual}, RANK.format(orders="SALES.tpch.orders"))
-    return result if large is None else result.unionByName(_rank_large(large, limit))
+    return result if large is None else result.unionByName(_rank_large(large, -(-rows // limit)))
 
 
-def _rank_large(large: DataFrame, limit: int) -> DataFrame:
+def _rank_large(large: DataFrame, slices: int) -> DataFrame:
     order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
-    rows = number_slices(large, ["o_custkey"], order, limit)
+    rows = number_slices(large, ["o_custkey"], order, slices)
     # Row number: place within the slice, plus the rows of all slices before.
     along = Window.partitionBy("o_custkey").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     before = (
@@ -81,14 +81,14 @@ def window_frame(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) -
 
 def frame_events(spark: SparkSession, events: DataFrame, limit: int) -> DataFrame:
     events = events.select("event_id", "user_id", "ts", "value")
-    usual, large = split_large_groups(events, ["user_id"], limit)
+    usual, large, rows = split_large_groups(events, ["user_id"], limit)
     result = run_query(spark, {"WEB.tpch.events": usual}, FRAME.format(events="WEB.tpch.events"))
-    return result if large is None else result.unionByName(_frame_large(large, limit))
+    return result if large is None else result.unionByName(_frame_large(large, -(-rows // limit)))
 
 
-def _frame_large(large: DataFrame, limit: int) -> DataFrame:
+def _frame_large(large: DataFrame, slices: int) -> DataFrame:
     order = [F.asc("ts"), F.asc("event_id")]
-    rows = number_slices(large, ["user_id"], order, limit)
+    rows = number_slices(large, ["user_id"], order, slices)
     within = Window.partitionBy("user_id", "slice").orderBy(*order)
     local = rows.select(
         "user_id",
@@ -100,7 +100,7 @@ def _frame_large(large: DataFrame, limit: int) -> DataFrame:
         F.lead("event_id").over(within).alias("next_here"),
     )
     # One row per slice: what the rows of the slices around it need to know.
-    slices = rows.groupBy("user_id", "slice").agg(
+    ends = rows.groupBy("user_id", "slice").agg(
         F.count("*").alias("n"),
         F.max("value").alias("top"),
         F.min_by("event_id", F.struct("ts", "event_id")).alias("first_id"),
@@ -108,7 +108,7 @@ def _frame_large(large: DataFrame, limit: int) -> DataFrame:
     )
     along = Window.partitionBy("user_id").orderBy("slice")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    around = slices.select(
+    around = ends.select(
         "user_id",
         "slice",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_before"),

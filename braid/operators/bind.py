@@ -10,6 +10,7 @@ from braid.spec import get
 # Stretches of SQL text in which nothing is replaced. Hints look like comments but name tables.
 _LITERAL = r"""[rR]'[^']*' | [rR]"[^"]*" | '(?:[^'\\]|\\.|'')*' | "(?:[^"\\]|\\.|"")*" | `(?:[^`]|``)*`"""
 _COMMENT = r"--[^\n]* | /\*(?!\+).*?\*/"
+_PLACEHOLDER = r"\$COND\{(?P<condition>\d+)\}"
 _LAST_SEMICOLON = rf";(?=(?:\s|{_COMMENT})*\Z)"
 
 # How a file path is spelled as a name, by the datasource it comes from.
@@ -40,23 +41,24 @@ def input_name(spec: dict) -> str:
 
 def view_name(name: str) -> str:
     """A view name that no other run in the session uses."""
-    return re.sub(r"\W", "_", name) + "_" + uuid.uuid4().hex
+    return f"v_{re.sub(r'[^A-Za-z0-9]+', '_', name)}_{uuid.uuid4().hex}"
 
 
 def fill_conditions(sql: str, conditions: list[str]) -> str:
-    """Put the n-th condition, as it is, in place of ``$COND{n}``."""
+    """Put the n-th condition, as it is, in place of ``$COND{n}``, also within quotes, but not in comments."""
     used = set()
 
     def fill(match: re.Match) -> str:
-        if match["condition"] is None:
-            return match[0]
         number = int(match["condition"])
         if not 1 <= number <= len(conditions):
             raise ValueError(f"$COND{{{number}}} has no value: {len(conditions)} dynamic conditions are given")
         used.add(number)
         return conditions[number - 1]
 
-    filled = re.sub(rf"{_COMMENT} | \$COND\{{(?P<condition>\d+)\}}", fill, sql, flags=re.X | re.S)
+    def fill_part(match: re.Match) -> str:
+        return match[0] if match["comment"] else re.sub(_PLACEHOLDER, fill, match[0])
+
+    filled = re.sub(rf"(?P<comment>{_COMMENT}) | {_LITERAL} | {_PLACEHOLDER}", fill_part, sql, flags=re.X | re.S)
     unused = sorted(set(range(1, len(conditions) + 1)) - used)
     if unused:
         raise ValueError(f"dynamic conditions {unused} are not used in the query")

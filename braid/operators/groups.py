@@ -18,30 +18,26 @@ from braid.shared import written
 ROWS_PER_TASK = 5_000_000
 
 
-def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """Equality on all columns, with null equal to null as in grouping."""
-    return reduce(Column.__and__, [left[column].eqNullSafe(right[column]) for column in columns])
-
-
-def split_large_groups(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of groups with at most ``limit`` rows, and the rows of all others (``None`` if there are none)."""
+def split_large_groups(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """The rows of groups with at most ``limit`` rows; those of all others, or ``None``; how many these are."""
     if df.count() <= limit:
-        return df, None
-    large = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit).select(*keys)
+        return df, None, 0
     # At most rows / limit groups are this large, so the written list stays small; Spark sees its true
     # size and broadcasts it only below its own threshold.
-    large = written(large, "large_groups")
-    if large.isEmpty():
-        return df, None
-    return df.join(large, same(df, large, keys), "left_anti"), df.join(large, same(df, large, keys), "left_semi")
+    groups = written(df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit), "large_groups")
+    rows = groups.agg(F.sum("n")).first()[0]
+    if not rows:
+        return df, None, 0
+    on = reduce(Column.__and__, [df[key].eqNullSafe(groups[key]) for key in keys])
+    return df.join(groups, on, "left_anti"), df.join(groups, on, "left_semi"), rows
 
 
-def number_slices(df: DataFrame, keys: list[str], order: list[Column], limit: int) -> DataFrame:
+def number_slices(df: DataFrame, keys: list[str], order: list[Column], slices: int) -> DataFrame:
     """The same rows with a ``slice`` number that grows along ``order`` within each group.
 
-    ``order`` has to tell all rows of a group apart; then a slice has about ``limit`` rows however
-    the groups are skewed. The slices are written once: a range cut drawn again could fall elsewhere.
+    ``order`` has to tell all rows of a group apart; then all slices have about the same number of
+    rows however the groups are skewed. They are written once: a range cut drawn again could fall
+    elsewhere.
     """
-    slices = -(-df.count() // limit)
     cut = df.repartitionByRange(slices, *keys, *order).withColumn("slice", F.spark_partition_id())
     return written(cut, "slices")

@@ -26,14 +26,12 @@ def flag(spec: dict, key: str, default: bool = False) -> bool:
 
 
 def store_type(spec: dict, role: str) -> str:
-    """Kind of store: ``type``, or the ``datasource`` / ``datasink`` that names a file store."""
+    """Kind of store: the ``type``, or else the ``datasource`` / ``datasink`` where that names a file store."""
     named = str(spec.get(role) or "")
-    if named.upper() in ("FILES", "HDFS", "S3"):
-        return named.lower()
-    try:
-        return str(get(spec, "type")).lower()
-    except ValueError:
-        raise ValueError(f"{role} '{named}' has no 'type' in its config") from None
+    kind = get(spec, "type", named if named in ("FILES", "HDFS", "S3") else None)
+    if kind is None:
+        raise ValueError(f"{role} '{named}' has no 'type' in its config")
+    return str(kind).lower()
 
 
 def format_options(spec: dict, keys: tuple[str, ...]) -> dict[str, str]:

@@ -62,7 +62,7 @@ def test_an_input_needs_a_name(spec):
 def test_view_names_are_plain_and_differ():
     first, second = view_name("HDFSnode:8020.a-b"), view_name("HDFSnode:8020.a-b")
     assert first != second
-    assert first.startswith("HDFSnode_8020_a_b_")
+    assert first.startswith("v_HDFSnode_8020_a_b_")
 
 
 def test_names_with_odd_characters_run(spark):
@@ -82,6 +82,11 @@ def test_conditions_are_inserted_as_they_are():
     assert filled == r"SELECT * FROM t WHERE a = '$1' AND b RLIKE '\\d' OR a = '$1' -- $COND{9}"
 
 
+def test_conditions_inside_literals_are_filled():
+    sql = "SELECT '-- $COND{1}', 'it''s' /* '$COND{2}' */ FROM t WHERE a = '$COND{1}'"
+    assert fill_conditions(sql, ["x"]) == "SELECT '-- x', 'it''s' /* '$COND{2}' */ FROM t WHERE a = 'x'"
+
+
 @pytest.mark.parametrize("sql, conditions", [("$COND{1}", []), ("$COND{0}", ["x"]), ("$COND{1}", ["x", "y"]), ("1", ["x"])])
 def test_conditions_and_placeholders_must_match(sql, conditions):
     with pytest.raises(ValueError):

@@ -44,14 +44,24 @@ def test_frame(spark, events, limit):
 
 
 def test_slices_are_even_and_in_order(spark, orders):
-    usual, large = split_large_groups(orders, ["o_custkey"], 1000)
-    assert usual.count() + large.count() == orders.count()
+    usual, large, rows = split_large_groups(orders, ["o_custkey"], 1000)
+    assert rows == large.count() == orders.count() - usual.count()
     assert large.select("o_custkey").distinct().count() == 2
-    order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
-    sliced = number_slices(large, ["o_custkey"], order, 1000)
+    sliced = number_slices(large, ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 10)
     sizes = [row["count"] for row in sliced.groupBy("slice").count().collect()]
-    assert len(sizes) == -(-large.count() // 1000) and max(sizes) < 2000
+    assert len(sizes) == 10 and sum(sizes) == rows and max(sizes) < 2 * rows / 10
+    keys = sliced.groupBy("o_custkey", "slice").agg(
+        F.min(F.struct(-F.col("o_totalprice"), "o_orderkey")).alias("low"),
+        F.max(F.struct(-F.col("o_totalprice"), "o_orderkey")).alias("high"),
+    )
+    ahead = keys.alias("a").join(keys.alias("b"), F.expr("a.o_custkey <=> b.o_custkey AND a.slice < b.slice AND a.high > b.low"))
+    assert ahead.isEmpty()
 
 
 def test_small_tables_are_not_touched(orders):
-    assert split_large_groups(orders, ["o_custkey"], 10**6) == (orders, None)
+    assert split_large_groups(orders, ["o_custkey"], 10**6) == (orders, None, 0)
+
+
+def test_many_small_groups_stay_whole(orders):
+    usual, large, rows = split_large_groups(orders.select("o_orderkey"), ["o_orderkey"], 10)
+    assert (usual.count(), large, rows) == (orders.count(), None, 0)

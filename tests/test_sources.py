@@ -98,6 +98,13 @@ def test_all_file_stores_read_alike(spark, sf_dir, kind):
     assert read_source(spark, spec).count() == 25
 
 
+def test_a_file_store_may_be_named_by_the_datasource_alone(spark, sf_dir):
+    file = {"file-type": "parquet", "file-path": f"{sf_dir}/nation.parquet"}
+    assert read_source(spark, {"datasource": "HDFS", **file}).count() == 25
+    with pytest.raises(ValueError, match="type"):
+        read_source(spark, {"datasource": "LAKE", **file})
+
+
 def test_unsupported(spark):
     with pytest.raises(ValueError, match="type"):
         read_source(spark, {"datasource": "X"})
