@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 
 from braid.spec import get
@@ -82,6 +85,9 @@ def _ranges(spark: SparkSession, spec: dict, options: dict, column: str) -> dict
         low, high = (found[0] if low is None else low), (found[1] if high is None else high)
     if low is None or high is None:
         return {}
+    if isinstance(low, (Decimal, float)) and isinstance(high, (Decimal, float)):
+        # Spark takes whole numbers as bounds of a numeric column.
+        low, high = math.floor(low), math.ceil(high)
     return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": count}
 
 

@@ -1,5 +1,8 @@
 """Schemas, readers and the options they hand to Spark."""
 
+from datetime import date
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import types as T
 
@@ -197,6 +200,20 @@ def test_ranges_are_looked_up():
     assert read["fetchsize"] == "10000" and read["useCursorFetch"] == "true"
 
 
+@pytest.mark.parametrize(
+    "found, bounds",
+    [
+        ((Decimal("1.50"), Decimal("9.0000")), ("1", "9")),
+        ((-0.5, 8.5), ("-1", "9")),
+        ((date(2020, 1, 1), date(2021, 1, 1)), ("2020-01-01", "2021-01-01")),
+    ],
+)
+def test_bounds_are_spelled_as_spark_reads_them(found, bounds):
+    spark = Reads(found)
+    jdbc.read_table(spark, db("jdbc:oracle:x", **{"partition-column": "k"}), "oracle")
+    assert (spark.calls[1]["lowerBound"], spark.calls[1]["upperBound"]) == bounds
+
+
 def test_given_ranges_need_no_lookup_and_empty_tables_no_ranges():
     spark = Reads()
     split = {"partition-column": "k", "lower-bound": 0, "upper-bound": 10}
