@@ -100,8 +100,7 @@ def typed_schema_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BOUND_JOIN = """
     SELECT {orders}.o_orderkey, c.c_name, {kept} AS kept
-    FROM {orders} JOIN {customer} c ON {orders}.o_custkey = c.c_custkey
-    WHERE o_totalprice > 250000"""
+    FROM {orders} JOIN {customer} c ON {orders}.o_custkey = c.c_custkey"""
 
 
 def bind_database_names(spark: SparkSession, sf_dir: str) -> DataFrame:

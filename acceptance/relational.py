@@ -10,8 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acceptance.tables import ask, inputs_for
-from braid import load_inputs, run_query
+from acceptance.tables import ask
 from braid.shared import written
 
 # Same text on both sides, apart from the names of the tables.
@@ -202,8 +201,7 @@ def range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     whether they are broadcast.
     """
     bands = written(ask(spark, sf_dir, BANDS), "bands")
-    frames = load_inputs(spark, inputs_for(spark, sf_dir, RANGE_JOIN))
-    return run_query(spark, {**frames, "bands": bands}, RANGE_JOIN)
+    return ask(spark, sf_dir, RANGE_JOIN, {"bands": bands})
 
 
 def queries() -> dict:

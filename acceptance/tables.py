@@ -60,29 +60,40 @@ def copied(spark: SparkSession, sf_dir: str, name: str, kind: str, /, infer: boo
     return spec
 
 
-# Name in the queries -> how the table is reached. One query over several of these crosses stores.
+# Name in the queries -> table and format. One query over several of these crosses stores.
 _INPUTS = {
-    "SALES.tpch.lineitem": lambda s, d, **at: parquet(s, d, "lineitem", **at),
-    "SALES.tpch.orders": lambda s, d, **at: parquet(s, d, "orders", **at),
-    "SALES.tpch.part": lambda s, d, **at: parquet(s, d, "part", **at),
-    "WEB.tpch.events": lambda s, d, **at: parquet(s, d, "events", **at),
-    "CRM.tpch.customer": lambda s, d, **at: copied(s, d, "customer", "csv", **at),
-    "CRM.tpch.supplier": lambda s, d, **at: copied(s, d, "supplier", "json", **at),
-    "GEO.tpch.nation": lambda s, d, **at: copied(s, d, "nation", "json", **at),
-    "GEO.tpch.region": lambda s, d, **at: copied(s, d, "region", "csv", **at),
+    "SALES.tpch.lineitem": "parquet",
+    "SALES.tpch.orders": "parquet",
+    "SALES.tpch.part": "parquet",
+    "WEB.tpch.events": "parquet",
+    "CRM.tpch.customer": "csv",
+    "CRM.tpch.supplier": "json",
+    "GEO.tpch.nation": "json",
+    "GEO.tpch.region": "csv",
 }
 
 
+def input_for(spark: SparkSession, sf_dir: str, name: str) -> dict:
+    source, database, last = name.split(".")
+    where = {"datasource": source, "database": database, "table": last}
+    kind = _INPUTS[name]
+    if kind == "parquet":
+        return parquet(spark, sf_dir, last, **where)
+    return copied(spark, sf_dir, last, kind, **where)
+
+
 def inputs_for(spark: SparkSession, sf_dir: str, sql: str) -> list[dict]:
     """Inputs for the names that occur in the query."""
-    specs = []
-    for name, spec in _INPUTS.items():
-        if name in sql:
-            source, database, last = name.split(".")
-            specs.append({"table": last, **spec(spark, sf_dir, datasource=source, database=database)})
-    return specs
+    return [input_for(spark, sf_dir, name) for name in _INPUTS if name in sql]
+
+
+@functools.cache
+def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input, opened once per session and used by many queries."""
+    return load_inputs(spark, [input_for(spark, sf_dir, name)])[name]
 
 
-def ask(spark: SparkSession, sf_dir: str, sql: str, **how) -> DataFrame:
-    """Run a query over the inputs it names."""
-    return run_query(spark, load_inputs(spark, inputs_for(spark, sf_dir, sql)), sql, **how)
+def ask(spark: SparkSession, sf_dir: str, sql: str, frames: dict[str, DataFrame] | None = None, **how) -> DataFrame:
+    """Run a query over the inputs it names, and over ``frames``."""
+    named = {name: loaded(spark, sf_dir, name) for name in _INPUTS if name in sql}
+    return run_query(spark, {**named, **(frames or {})}, sql, **how)

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from acceptance.tables import inputs_for
-from braid import load_inputs, run_query
+from acceptance.tables import loaded
+from braid import run_query
 from braid.operators.groups import ROWS_PER_TASK, number_slices, split_large_groups
 
 RANK = """
@@ -34,9 +34,7 @@ def _join_on(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame
 
 
 def window_rank(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) -> DataFrame:
-    name = "SALES.tpch.orders"
-    orders = load_inputs(spark, inputs_for(spark, sf_dir, name))[name]
-    return rank_orders(spark, orders, limit)
+    return rank_orders(spark, loaded(spark, sf_dir, "SALES.tpch.orders"), limit)
 
 
 def rank_orders(spark: SparkSession, orders: DataFrame, limit: int) -> DataFrame:
@@ -74,9 +72,7 @@ def _rank_large(large: DataFrame, slices: int) -> DataFrame:
 
 
 def window_frame(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) -> DataFrame:
-    name = "WEB.tpch.events"
-    events = load_inputs(spark, inputs_for(spark, sf_dir, name))[name]
-    return frame_events(spark, events, limit)
+    return frame_events(spark, loaded(spark, sf_dir, "WEB.tpch.events"), limit)
 
 
 def frame_events(spark: SparkSession, events: DataFrame, limit: int) -> DataFrame:

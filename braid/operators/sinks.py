@@ -12,7 +12,7 @@ from braid.sources.jdbc import connection_options
 from braid.spec import flag, format_options, get, store_type
 
 FILE_SINKS = ("files", "hdfs", "local", "s3")
-DATABASE_SINKS = ("mysql", "postgres")
+DATABASE_SINKS = ("mysql", "postgres", "jdbc")
 BATCH_ROWS = 10_000
 
 
@@ -61,13 +61,13 @@ def write_output(df: DataFrame, output: dict) -> None:
 
 
 def _check(output: dict) -> str:
+    """The kind of store, after a look at all that can be wrong with an output before anything is written."""
     kind = store_type(output, "datasink")
     if kind in FILE_SINKS:
-        file_type(output), file_path(output)
+        file_type(output)
+        file_path(output)
     elif kind in DATABASE_SINKS:
         database_options(output, kind)
-    elif kind == "jdbc":
-        database_options(output, kind)
     else:
         raise ValueError(f"unsupported output type '{kind}'")
     _mode(output)

@@ -1,6 +1,9 @@
 """Names, placeholders and the read-only rule."""
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 
 from braid import load_inputs, run_query
 from braid.operators.bind import bind_names, fill_conditions, input_name, view_name
@@ -154,3 +157,30 @@ def test_cross_and_theta_joins_go_to_spark(spark):
     frames = {"A.b.t": spark.range(3), "A.b.u": spark.range(4)}
     assert run_query(spark, frames, "SELECT * FROM A.b.t CROSS JOIN A.b.u").count() == 12
     assert run_query(spark, frames, "SELECT * FROM A.b.t x JOIN A.b.u y ON x.id < y.id").count() == 6
+
+
+# Pieces of SQL text with what becomes of them when A.b.t is bound to v1.
+LEFT_ALONE = ["'A.b.t'", "'A.b.t '' -- x'", "'\\' A.b.t'", '"A.b.t /*"', "`A.b.t`", "-- A.b.t '\n", "/* A.b.t \" */", "r'\\'"]
+PIECES = [(piece, piece) for piece in LEFT_ALONE] + [("A.b.t", "v1"), ("A.b.t.c", "v1.c"), ("x.A.b.t", "x.A.b.t"), ("1", "1")]
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_any_mix_of_pieces(pieces):
+    before, after = (" ".join(piece[side] for piece in pieces) for side in (0, 1))
+    assert bind_names(before, V) == after
+
+
+def test_files_whose_names_share_a_beginning(spark, sf_dir, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    spark.range(4).write.parquet(str(tmp_path / "t.more"))
+    inputs = [{"datasource": "FILES", "file-type": "parquet", "file-path": f"file://{tmp_path}/{n}"} for n in ("t", "t.more")]
+    frames = load_inputs(spark, inputs)
+    first, second = frames
+    sql = f"SELECT (SELECT COUNT(*) FROM {first}) AS a, (SELECT COUNT(*) FROM {second}) AS b"
+    assert tuple(run_query(spark, frames, sql).first()) == (3, 4)
+
+
+def test_a_query_sees_no_other_runs_inputs(spark):
+    run_query(spark, {"A.b.t": spark.range(1)}, "SELECT * FROM A.b.t")
+    with pytest.raises(AnalysisException):
+        run_query(spark, {}, "SELECT * FROM A.b.t")

@@ -63,6 +63,26 @@ def test_a_join_key_is_reduced_before_its_shuffle(spark, sf_dir, no_broadcast, k
     assert "HashAggregate" in below
 
 
+def test_bucketed_tables_join_in_place(spark, sf_dir, no_broadcast, tmp_path):
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        writer = spark.read.parquet(f"{sf_dir}/{name}.parquet").write.bucketBy(8, key).sortBy(key)
+        writer.option("path", str(tmp_path / name)).saveAsTable(f"default.bucketed_{name}")
+    inputs = [
+        {"datasource": "LAKE", "config": {"type": "hive"}, "database": "default", "table": f"bucketed_{name}"}
+        for name in ("orders", "lineitem")
+    ]
+    sql = "SELECT COUNT(*) AS n FROM LAKE.default.bucketed_lineitem JOIN LAKE.default.bucketed_orders ON l_orderkey = o_orderkey"
+    tree = plan(run_query(spark, load_inputs(spark, inputs), sql)).split("\n\n\n")[0]
+    assert len(re.findall(r"\bExchange \(", tree)) == 1  # the final count alone
+
+
+def test_partitions_are_pruned(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/orders.parquet").write.partitionBy("o_orderstatus").parquet(str(tmp_path / "t"))
+    spec = {"datasource": "FILES", "file-type": "parquet", "file-path": str(tmp_path / "t"), "name": "A.b.t"}
+    found = plan(run_query(spark, load_inputs(spark, [spec]), "SELECT o_orderkey FROM A.b.t WHERE o_orderstatus = 'F'"))
+    assert re.search(r"PartitionFilters: \[[^]]*o_orderstatus", found)
+
+
 def test_nothing_large_goes_through_the_driver_or_python():
     banned = r"\.(collect|toPandas|toLocalIterator|rdd|foreach|localCheckpoint|crossJoin|mapInPandas)\b|broadcast\(|@F\.udf"
     for part in ("braid", "acceptance"):
