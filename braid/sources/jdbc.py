@@ -72,7 +72,7 @@ def read_table(spark: SparkSession, spec: dict, kind: str) -> DataFrame:
     column = get(spec, "partition-column", None)
     if column:
         options.update(_ranges(spark, spec, options, column))
-    elif str(get(spec, "num-partitions", "")) != "1":
+    elif "partitionColumn" not in options and str(get(spec, "num-partitions", "")) != "1":
         _refuse_large(spark, options)
     return spark.read.format("jdbc").options(**options).load()
 

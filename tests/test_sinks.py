@@ -108,6 +108,11 @@ def test_a_database_output_reaches_the_jdbc_sink(spark):
         write_output(spark.range(1), TABLE)
 
 
+def test_options_of_one_output_reach_its_file_system(spark):
+    with pytest.raises(Exception, match="com.example.Store"):
+        write_output(spark.range(1), out("s3a://lake/t", options={"fs.s3a.impl": "com.example.Store"}))
+
+
 def test_column_types(spark):
     schema = spark.sql("SELECT 'a' AS s, 1.5D AS d, 1L AS l, 1 AS i").schema
     assert column_types(schema) == "`s` VARCHAR(200), `d` DECIMAL(38,10), `l` DECIMAL(20,0)"

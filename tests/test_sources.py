@@ -127,6 +127,16 @@ def test_s3_keys_belong_to_one_bucket():
     assert s3_options({"file-path": "/lake/t", "config": {"fs.s3.awsAccessKeyId": "id"}}) == {}
 
 
+def test_options_of_one_input_reach_its_file_system(spark):
+    """As the keys of a bucket do: the named class is looked for, and the session knows nothing of it."""
+    spec = file("s3a://lake/t", "parquet", options={"fs.s3a.impl": "com.example.Store"}, name="t")
+    with pytest.raises(Exception, match="com.example.Store"):
+        read_source(spark, spec)
+    with pytest.raises(Exception) as error:
+        read_source(spark, {key: value for key, value in spec.items() if key != "options"})
+    assert "com.example.Store" not in str(error.value)
+
+
 def test_mongo(spark):
     spec = {"datasource": "M", "config": {"type": "mongo", "uri": "mongodb://h"}, "database": "d", "collection": "c"}
     assert mongo_options(spec) == {"connection.uri": "mongodb://h", "database": "d", "collection": "c"}
@@ -233,7 +243,8 @@ def test_predicates_split_a_read():
 def test_a_large_table_is_not_read_in_one_task():
     with pytest.raises(ValueError, match="partition-column"):
         jdbc.read_table(Reads((jdbc.UNSPLIT_ROWS + 1,)), db("jdbc:mysql://h"), "mysql")
-    for answer, more in (((jdbc.UNSPLIT_ROWS,), {}), (None, {"num-partitions": 1})):
+    own = {"options": {"partitionColumn": "k", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}}
+    for answer, more in (((jdbc.UNSPLIT_ROWS,), {}), (None, {"num-partitions": 1}), (None, own)):
         spark = Reads(answer)
         jdbc.read_table(spark, db("jdbc:mysql://h", **more), "mysql")
         assert spark.calls[-1]["dbtable"] == "d.t"
