@@ -42,10 +42,6 @@ SHARED = {
         SELECT c_nationkey AS k FROM CRM.tpch.customer UNION ALL SELECT s_nationkey AS k FROM CRM.tpch.supplier""",
     "union_distinct": """
         SELECT c_nationkey AS k FROM CRM.tpch.customer UNION SELECT s_nationkey AS k FROM CRM.tpch.supplier""",
-    "string_fn": """
-        SELECT c_custkey, UPPER(c_name) AS u, CAST(LENGTH(c_name) AS BIGINT) AS len, SUBSTRING(c_name, 1, 8) AS pre,
-          CONCAT(c_mktsegment, '-', CAST(c_nationkey AS VARCHAR(10))) AS seg, REPLACE(c_name, '#', '_') AS rep
-        FROM CRM.tpch.customer""",
     "date_fn": """
         SELECT o_orderkey, CAST(YEAR(o_orderdate) AS BIGINT) AS y, CAST(MONTH(o_orderdate) AS BIGINT) AS m,
           CAST(o_orderdate AS DATE) AS d, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS mon
@@ -178,6 +174,17 @@ PAIRS = {
         """
         SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey AS k FROM orders WHERE o_totalprice > 400000""",
     ),
+    "string_fn": (
+        """
+        SELECT c_custkey, UPPER(c_name) AS u, CAST(LENGTH(c_name) AS BIGINT) AS len, SUBSTRING(c_name, 1, 8) AS pre,
+          CONCAT(c_mktsegment, '-', CAST(c_nationkey AS VARCHAR(10))) AS seg, REPLACE(c_name, '#', '_') AS rep
+        FROM CRM.tpch.customer""",
+        # The other engine's CONCAT skips nulls.
+        """
+        SELECT c_custkey, UPPER(c_name) AS u, CAST(LENGTH(c_name) AS BIGINT) AS len, SUBSTRING(c_name, 1, 8) AS pre,
+          c_mktsegment || '-' || CAST(c_nationkey AS VARCHAR(10)) AS seg, REPLACE(c_name, '#', '_') AS rep
+        FROM customer""",
+    ),
     "json_fn": (
         """
         SELECT event_id, CAST(get_json_object(props, '$.k') AS INT) AS k FROM WEB.tpch.events""",

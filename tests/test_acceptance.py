@@ -15,11 +15,10 @@ SPARK_TYPES = {
 }
 
 
-@pytest.fixture(scope="module")
-def oracle(sf_dir):
+def oracle(folder):
     connection = duckdb.connect()
     for name in TABLES:
-        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return connection
 
 
@@ -27,10 +26,9 @@ def in_order(rows):
     return sorted(rows, key=lambda row: tuple((value is not None, str(value)) for value in row))
 
 
-@pytest.mark.parametrize("key", sorted(contract.queries()))
-def test_same_result(spark, sf_dir, oracle, key):
-    expected = oracle.sql(contract.oracle_sql()[key])
-    found = contract.queries()[key](spark, sf_dir)
+def check(spark, folder, key, **more):
+    expected = oracle(folder).sql(contract.oracle_sql()[key])
+    found = contract.queries()[key](spark, folder, **more)
     columns = sorted(expected.columns)
     assert sorted(found.columns) == columns
     kinds = dict(zip(expected.columns, map(str, expected.types)))
@@ -41,5 +39,19 @@ def test_same_result(spark, sf_dir, oracle, key):
     assert in_order(rows) == in_order(wanted)
 
 
+@pytest.mark.parametrize("key", sorted(contract.queries()))
+def test_same_result(spark, sf_dir, key):
+    check(spark, sf_dir, key)
+
+
+@pytest.mark.parametrize("key", sorted(contract.queries()))
+def test_same_result_with_skew_and_nulls(spark, skewed_dir, key):
+    check(spark, skewed_dir, key, **({"limit": 50} if key.startswith("window") else {}))
+
+
+def test_every_query_has_its_expected_result():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
