@@ -34,7 +34,8 @@ def input_name(spec: dict) -> str:
         return path.replace(scheme, prefix, 1).rstrip("/").replace("/", ".")
     if source and spec.get("database"):
         schema = get(spec, "schema", None)
-        levels = [source, spec["database"], schema if isinstance(schema, str) else None, get(spec, "table")]
+        table = get(spec, "table", None) or get(spec, "collection")
+        levels = [source, spec["database"], schema if isinstance(schema, str) else None, table]
         return ".".join(level for level in levels if level)
     raise ValueError("an input needs a 'name', or 'datasource' with 'database' and 'table' or a file path")
 
@@ -53,7 +54,7 @@ def fill_conditions(sql: str, conditions: list[str]) -> str:
         if not 1 <= number <= len(conditions):
             raise ValueError(f"$COND{{{number}}} has no value: {len(conditions)} dynamic conditions are given")
         used.add(number)
-        return conditions[number - 1]
+        return str(conditions[number - 1])
 
     def fill_part(match: re.Match) -> str:
         return match[0] if match["comment"] else re.sub(_PLACEHOLDER, fill, match[0])

@@ -27,11 +27,9 @@ def read_source(spark: SparkSession, spec: dict) -> DataFrame:
 
 
 def mongo_options(spec: dict) -> dict[str, str]:
-    options = {
-        "connection.uri": get(spec, "uri"),
-        "database": get(spec, "database"),
-        "collection": get(spec, "collection"),
-    }
+    """The collection's address; the database and the collection may also stand in the URI."""
+    options = {"connection.uri": get(spec, "uri")}
+    options.update({key: spec[key] for key in ("database", "collection") if key in spec})
     options.update({key: str(value) for key, value in (spec.get("options") or {}).items()})
     return options
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from braid import read_source
+from braid.operators.bind import input_name
 from braid.sources import jdbc, mongo_options
 from braid.sources.files import file_path, s3_options
 from braid.sources.schema import to_struct, to_type
@@ -140,8 +141,10 @@ def test_options_of_one_input_reach_its_file_system(spark):
 def test_mongo(spark):
     spec = {"datasource": "M", "config": {"type": "mongo", "uri": "mongodb://h"}, "database": "d", "collection": "c"}
     assert mongo_options(spec) == {"connection.uri": "mongodb://h", "database": "d", "collection": "c"}
+    assert mongo_options({"uri": "mongodb://h/d.c"}) == {"connection.uri": "mongodb://h/d.c"}
+    assert input_name(spec) == "M.d.c"
     with pytest.raises(Exception, match="mongodb"):
-        read_source(spark, {**spec, "name": "m"})
+        read_source(spark, spec)
 
 
 def db(url, **more):
