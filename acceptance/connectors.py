@@ -193,7 +193,8 @@ def sink_json_nullfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null text becomes the word ``null``; a null number stays null."""
     rows, target = ask(spark, sf_dir, NULLED.format(orders=ORDERS)), _target(spark, "json")
     write_output(rows, {**target, "append": False, "null-fill": True})
-    return _read_back(spark, target, rows)
+    sql = "SELECT o_orderkey, status, COALESCE(custkey, -1) AS custkey FROM OUT"
+    return run_query(spark, {"OUT": _read_back(spark, target, rows)}, sql)
 
 
 def sink_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,7 +293,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_csv": orders,
         "sink_json_append": f"{orders} UNION ALL {orders}",
         "sink_json_nullfill": "SELECT o_orderkey, COALESCE(NULLIF(o_orderstatus, 'F'), 'null') AS status, "
-        "NULLIF(o_custkey, 1) AS custkey FROM orders",
+        "COALESCE(NULLIF(o_custkey, 1), -1) AS custkey FROM orders",
         "sink_repartition": "SELECT 3 + COUNT(*) // 5000000 AS files, COUNT(*) AS n FROM lineitem",
         "sink_fanout": tagged(spenders, "sink", ("as_parquet", "as_json", "as_csv")),
         "job_end_to_end": tagged(job, "sink", ("as_parquet", "as_json")),
