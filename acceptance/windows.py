@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from acceptance.tables import loaded
 from braid import run_query
 from braid.operators.groups import ROWS_PER_TASK, number_slices, split_large_groups
+from braid.shared import written
 
 RANK = """
     SELECT o_custkey, o_orderkey,
@@ -26,11 +27,15 @@ FRAME = """
     FROM {events}"""
 
 
-def _join_on(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
-    """Inner join, null equal to null, with the joined columns kept once."""
-    renamed = right.withColumnsRenamed({column: f"_{column}" for column in columns})
-    on = reduce(Column.__and__, [left[column].eqNullSafe(renamed[f"_{column}"]) for column in columns])
-    return left.join(renamed, on).drop(*[f"_{column}" for column in columns])
+def _look_up(rows: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
+    """Each row with the facts for its values in ``columns``, null equal to null.
+
+    The facts are few, one per slice or per large group and value. Written first, they show Spark
+    their true size, so that it broadcasts them and leaves the many rows where they are.
+    """
+    facts = written(facts.withColumnsRenamed({column: f"_{column}" for column in columns}), "facts")
+    on = reduce(Column.__and__, [rows[column].eqNullSafe(facts[f"_{column}"]) for column in columns])
+    return rows.join(facts, on).drop(*[f"_{column}" for column in columns])
 
 
 def window_rank(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) -> DataFrame:
@@ -39,9 +44,9 @@ def window_rank(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) ->
 
 def rank_orders(spark: SparkSession, orders: DataFrame, limit: int) -> DataFrame:
     orders = orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
-    usual, large, rows = split_large_groups(orders, ["o_custkey"], limit)
+    usual, large, slices = split_large_groups(orders, ["o_custkey"], limit)
     result = run_query(spark, {"SALES.tpch.orders": usual}, RANK.format(orders="SALES.tpch.orders"))
-    return result if large is None else result.unionByName(_rank_large(large, -(-rows // limit)))
+    return result if large is None else result.unionByName(_rank_large(large, slices))
 
 
 def _rank_large(large: DataFrame, slices: int) -> DataFrame:
@@ -54,7 +59,7 @@ def _rank_large(large: DataFrame, slices: int) -> DataFrame:
         .select("o_custkey", "slice", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("rows_before"))
     )
     place = F.row_number().over(Window.partitionBy("o_custkey", "slice").orderBy(*order))
-    numbered = _join_on(rows.withColumn("place", place), before, ["o_custkey", "slice"])
+    numbered = _look_up(rows.withColumn("place", place), before, ["o_custkey", "slice"])
     # Ranks depend on the priority alone: rank the few priorities of a customer, then look them up.
     by_priority = Window.partitionBy("o_custkey").orderBy("o_orderpriority")
     lower = by_priority.rowsBetween(Window.unboundedPreceding, -1)
@@ -67,7 +72,7 @@ def _rank_large(large: DataFrame, slices: int) -> DataFrame:
             F.row_number().over(by_priority).cast("bigint").alias("dr"),
         )
     )
-    ranked = _join_on(numbered, ranks, ["o_custkey", "o_orderpriority"])
+    ranked = _look_up(numbered, ranks, ["o_custkey", "o_orderpriority"])
     return ranked.select("o_custkey", "o_orderkey", (F.col("place") + F.col("rows_before")).alias("rn"), "rk", "dr")
 
 
@@ -77,9 +82,9 @@ def window_frame(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) -
 
 def frame_events(spark: SparkSession, events: DataFrame, limit: int) -> DataFrame:
     events = events.select("event_id", "user_id", "ts", "value")
-    usual, large, rows = split_large_groups(events, ["user_id"], limit)
+    usual, large, slices = split_large_groups(events, ["user_id"], limit)
     result = run_query(spark, {"WEB.tpch.events": usual}, FRAME.format(events="WEB.tpch.events"))
-    return result if large is None else result.unionByName(_frame_large(large, -(-rows // limit)))
+    return result if large is None else result.unionByName(_frame_large(large, slices))
 
 
 def _frame_large(large: DataFrame, slices: int) -> DataFrame:
@@ -112,7 +117,7 @@ def _frame_large(large: DataFrame, slices: int) -> DataFrame:
         F.lag("last_id").over(along).alias("id_before"),
         F.lead("first_id").over(along).alias("id_after"),
     )
-    return _join_on(local, around, ["user_id", "slice"]).select(
+    return _look_up(local, around, ["user_id", "slice"]).select(
         "event_id",
         F.least(F.col("place") + F.col("rows_before"), F.lit(3)).alias("n3"),
         F.greatest("max_here", "max_before").alias("running_max"),

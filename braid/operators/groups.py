@@ -14,22 +14,28 @@ from pyspark.sql import functions as F
 
 from braid.shared import written
 
-# Rows that one task sorts with ease.
+# Rows that one task sorts with ease, and the number of tasks beyond which a shuffle costs more than it spreads.
 ROWS_PER_TASK = 5_000_000
+MOST_SLICES = 10_000
 
 
 def split_large_groups(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, DataFrame | None, int]:
-    """The rows of groups with at most ``limit`` rows; those of all others, or ``None``; how many these are."""
-    if df.count() <= limit:
+    """The rows of ordinary groups; those of groups beyond ``limit`` rows, or ``None``; slices to cut these into.
+
+    On very large tables the limit grows, to a ten-thousandth of all rows.
+    """
+    total = df.count()
+    limit = max(limit, total // MOST_SLICES)
+    if total <= limit:
         return df, None, 0
-    # At most rows / limit groups are this large, so the written list stays small; Spark sees its true
+    # At most total / limit groups are this large, so the written list stays small; Spark sees its true
     # size and broadcasts it only below its own threshold.
     groups = written(df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit), "large_groups")
     rows = groups.agg(F.sum("n")).first()[0]
     if not rows:
         return df, None, 0
     on = reduce(Column.__and__, [df[key].eqNullSafe(groups[key]) for key in keys])
-    return df.join(groups, on, "left_anti"), df.join(groups, on, "left_semi"), rows
+    return df.join(groups, on, "left_anti"), df.join(groups, on, "left_semi"), -(-rows // limit)
 
 
 def number_slices(df: DataFrame, keys: list[str], order: list[Column], slices: int) -> DataFrame:

@@ -1,9 +1,14 @@
 """Window queries over groups that are cut into slices, against the plain windows."""
 
+import contextlib
+import io
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from acceptance import windows
+from braid.operators import groups
 from braid.operators.groups import number_slices, split_large_groups
 
 
@@ -43,9 +48,19 @@ def test_frame(spark, events, limit):
     assert same_rows(windows.frame_events(spark, events, 10**9), windows.frame_events(spark, events, limit))
 
 
+def test_large_groups_are_shuffled_once_after_the_cut(spark, orders):
+    """By customer and slice, for the window; all else is looked up in broadcast facts."""
+    usual, large, slices = split_large_groups(orders, ["o_custkey"], 1000)
+    with contextlib.redirect_stdout(io.StringIO()) as printed:
+        windows._rank_large(large, slices).explain()
+    tree = printed.getvalue()
+    assert len(re.findall(r"Exchange hashpartitioning", tree)) == 1 and "SortMergeJoin" not in tree
+
+
 def test_slices_are_even_and_in_order(spark, orders):
-    usual, large, rows = split_large_groups(orders, ["o_custkey"], 1000)
-    assert rows == large.count() == orders.count() - usual.count()
+    usual, large, slices = split_large_groups(orders, ["o_custkey"], 1000)
+    rows = large.count()
+    assert rows == orders.count() - usual.count() and slices == -(-rows // 1000)
     assert large.select("o_custkey").distinct().count() == 2
     sliced = number_slices(large, ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 10)
     sizes = [row["count"] for row in sliced.groupBy("slice").count().collect()]
@@ -62,6 +77,11 @@ def test_small_tables_are_not_touched(orders):
     assert split_large_groups(orders, ["o_custkey"], 10**6) == (orders, None, 0)
 
 
+def test_the_limit_grows_with_the_table(orders, monkeypatch):
+    monkeypatch.setattr(groups, "MOST_SLICES", 10)
+    assert 0 < split_large_groups(orders, ["o_custkey"], 1)[2] <= 10
+
+
 def test_many_small_groups_stay_whole(orders):
-    usual, large, rows = split_large_groups(orders.select("o_orderkey"), ["o_orderkey"], 10)
-    assert (usual.count(), large, rows) == (orders.count(), None, 0)
+    usual, large, slices = split_large_groups(orders.select("o_orderkey"), ["o_orderkey"], 10)
+    assert (usual.count(), large, slices) == (orders.count(), None, 0)
