@@ -20,7 +20,8 @@ def write_outputs(df: DataFrame, outputs: list[dict]) -> DataFrame:
     """Write one result to every output, in order, and return it.
 
     The query runs once: with several outputs its result is kept, on the shared folder where the
-    session has one, so that all outputs get the same rows even when executors are lost in between.
+    session has one, so that all outputs get the same rows, in the same order, even when executors are
+    lost in between.
     The outputs are not one transaction; those written before a failure stay.
     """
     if not outputs:

@@ -69,6 +69,14 @@ def test_one_run_for_several_outputs(spark, tmp_path):
     assert first.exceptAll(spark.read.schema("id long, x double").json(str(tmp_path / "c"))).isEmpty()
 
 
+def test_the_order_of_a_result_survives_several_outputs(spark, tmp_path):
+    df = spark.range(10_000).withColumn("x", F.xxhash64("id")).orderBy("x")
+    write_outputs(df, [out(tmp_path / "a", "json"), out(tmp_path / "b", "json")])
+    for name in "ab":
+        values = [line["x"] for line in lines(tmp_path / name)]
+        assert len(values) == 10_000 and values == sorted(values)
+
+
 def test_a_wrong_output_stops_the_job_before_any_write(spark, tmp_path):
     with pytest.raises(ValueError, match="mongo"):
         write_outputs(spark.range(1), [out(tmp_path / "a"), {"datasink": "M", "config": {"type": "mongo"}}])
