@@ -88,6 +88,9 @@ def _mode(output: dict) -> str:
 def _file_writer(writer: DataFrameWriter, output: dict) -> DataFrameWriter:
     kind = file_type(output)
     options = format_options(output, CSV_KEYS if kind == "csv" else ())
+    if kind == "csv":
+        # Spark's CSV writer would trim text.
+        options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", **options}
     codec = get(output, "codec", None)
     if codec:
         options.setdefault("compression", codec)

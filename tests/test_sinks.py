@@ -4,10 +4,10 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from braid import run_job, write_output, write_outputs
+from braid import read_source, run_job, run_query, write_output, write_outputs
 from braid.operators.sinks import column_types, database_options, lowercase_columns
 
 
@@ -40,6 +40,33 @@ def test_csv_options(spark, tmp_path):
     assert spark.read.text(str(part)).collect()[1].value == "1|NA|02.01.2020|'x|y'"
 
 
+def test_csv_keeps_whole_texts(spark, sf_dir, tmp_path):
+    """Line breaks, quotes, blanks around the text, empty text and null."""
+    odd = [(-1, "  a "), (-2, 'say "hi"'), (-3, ""), (-4, None), (-5, "a\nb,c"), (-6, "\t"), (-7, "#x"), (-8, "\\")]
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    df = documents.union(spark.createDataFrame(odd, documents.schema))
+    target = out(tmp_path / "t", "csv", header="true", quote='"', escape='"', nullValue="(none)")
+    write_output(df, target)
+    fields = [{"name": n, "datatype": k, "nullable": True} for n, k in (("doc_id", "long"), ("text", "string"))]
+    found = read_source(spark, {**target, "schema": fields, "options": {"multiLine": True}})
+    assert found.count() == df.count()
+    assert df.exceptAll(found).collect() == []
+
+
+def test_nested_columns(spark, sf_dir, tmp_path):
+    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    with pytest.raises(AnalysisException):
+        write_output(df, out(tmp_path / "csv", "csv"))
+    write_output(df, out(tmp_path / "json", "json"))
+    fields = [
+        {"name": name, "datatype": kind, "nullable": True}
+        for name, kind in (("vec_id", "long"), ("embedding", "array<float>"), ("label", "int"))
+    ]
+    frames = {"A.b.e": read_source(spark, {**out(tmp_path / "json", "json"), "schema": fields})}
+    found = run_query(spark, frames, "SELECT vec_id, embedding, label FROM A.b.e WHERE embedding[0] IS NOT NULL")
+    assert df.exceptAll(found).isEmpty() and found.count() == df.count()
+
+
 def lines(path):
     return [json.loads(line) for part in sorted(Path(path).glob("*.json")) for line in part.read_text().splitlines()]
 
