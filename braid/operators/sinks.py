@@ -94,7 +94,7 @@ def _file_writer(writer: DataFrameWriter, output: dict) -> DataFrameWriter:
     codec = get(output, "codec", None)
     if codec:
         options.setdefault("compression", codec)
-    return writer.format(kind).options(**options, **s3_options(output))
+    return writer.format(kind).options(**{**s3_options(output), **options})
 
 
 def database_options(output: dict, kind: str) -> dict[str, str]:
@@ -102,7 +102,7 @@ def database_options(output: dict, kind: str) -> dict[str, str]:
     if kind == "jdbc":
         options = {key: get(output, key) for key in ("url", "driver", "user", "password")}
         options["dbtable"] = get(output, "table")
-        options.update({key: str(value) for key, value in (output.get("options") or {}).items()})
+        options.update(format_options(output))
     else:
         options = connection_options(output, kind)
     options.setdefault("batchsize", str(BATCH_ROWS))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from braid.operators.bind import input_name
 from braid.sources.files import read_files
 from braid.sources.jdbc import DATABASE_TYPES, read_table
-from braid.spec import get, store_type
+from braid.spec import format_options, get, store_type
 
 FILE_TYPES = ("files", "hdfs", "local", "s3")
 
@@ -30,8 +30,7 @@ def mongo_options(spec: dict) -> dict[str, str]:
     """The collection's address; the database and the collection may also stand in the URI."""
     options = {"connection.uri": get(spec, "uri")}
     options.update({key: spec[key] for key in ("database", "collection") if key in spec})
-    options.update({key: str(value) for key, value in (spec.get("options") or {}).items()})
-    return options
+    return {**options, **format_options(spec)}
 
 
 def load_inputs(spark: SparkSession, inputs: list[dict]) -> dict[str, DataFrame]:

@@ -27,7 +27,7 @@ def read_files(spark: SparkSession, spec: dict) -> DataFrame:
     input once more, so large inputs are better declared.
     """
     kind = file_type(spec)
-    reader = spark.read.format(kind).options(**format_options(spec, _READER_KEYS[kind]), **s3_options(spec))
+    reader = spark.read.format(kind).options(**{**s3_options(spec), **format_options(spec, _READER_KEYS[kind])})
     if kind != "parquet":
         infer = flag(spec, "inferSchema")
         declared = get(spec, "schema", None)

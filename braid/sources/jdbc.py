@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
-from braid.spec import get
+from braid.spec import format_options, get
 
 DATABASE_TYPES = ("mysql", "postgres", "mssql", "oracle", "ibmdb2")
 
@@ -29,8 +29,7 @@ def connection_options(spec: dict, kind: str) -> dict[str, str]:
     if kind == "mysql":
         # Without a server-side cursor this driver loads a whole result into memory.
         options["useCursorFetch"] = "true"
-    options.update({key: str(value) for key, value in (spec.get("options") or {}).items()})
-    return options
+    return {**options, **format_options(spec)}
 
 
 def _table(spec: dict, kind: str) -> str:

@@ -34,7 +34,7 @@ def store_type(spec: dict, role: str) -> str:
     return str(kind).lower()
 
 
-def format_options(spec: dict, keys: tuple[str, ...]) -> dict[str, str]:
+def format_options(spec: dict, keys: tuple[str, ...] = ()) -> dict[str, str]:
     """Spark reader / writer options named in ``keys``, plus everything under ``options``."""
     named = {key: get(spec, key, None) for key in keys}
     chosen = {key: value for key, value in named.items() if value is not None}
