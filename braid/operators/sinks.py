@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from braid.shared import checkpoint_dir
 from braid.sources.files import CSV_KEYS, file_path, file_type, s3_options
 from braid.sources.jdbc import connection_options
-from braid.spec import flag, format_options, get, store_type
+from braid.spec import flag, format_options, get, numbered, store_type
 
 FILE_SINKS = ("files", "hdfs", "local", "s3")
 DATABASE_SINKS = ("mysql", "postgres", "jdbc")
@@ -26,8 +26,9 @@ def write_outputs(df: DataFrame, outputs: list[dict]) -> DataFrame:
     """
     if not outputs:
         raise ValueError("at least one output is needed")
-    for output in outputs:
-        _check(output)
+    for number, output in enumerate(outputs, start=1):
+        with numbered("output", number):
+            _check(output)
     if len(outputs) == 1:
         write_output(df, outputs[0])
         return df

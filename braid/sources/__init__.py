@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from braid.operators.bind import input_name
 from braid.sources.files import read_files
 from braid.sources.jdbc import DATABASE_TYPES, read_table
-from braid.spec import format_options, get, store_type
+from braid.spec import format_options, get, numbered, store_type
 
 FILE_TYPES = ("files", "hdfs", "local", "s3")
 
@@ -36,9 +36,10 @@ def mongo_options(spec: dict) -> dict[str, str]:
 def load_inputs(spark: SparkSession, inputs: list[dict]) -> dict[str, DataFrame]:
     """Every input under the name that the query uses for it."""
     frames: dict[str, DataFrame] = {}
-    for spec in inputs:
-        name = input_name(spec)
-        if name in frames:
-            raise ValueError(f"two inputs are named '{name}'")
-        frames[name] = read_source(spark, spec)
+    for number, spec in enumerate(inputs, start=1):
+        with numbered("input", number):
+            name = input_name(spec)
+            if name in frames:
+                raise ValueError(f"two inputs are named '{name}'")
+            frames[name] = read_source(spark, spec)
     return frames

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
 _MISSING = object()
@@ -40,3 +42,12 @@ def format_options(spec: dict, keys: tuple[str, ...] = ()) -> dict[str, str]:
     chosen = {key: value for key, value in named.items() if value is not None}
     chosen.update(spec.get("options") or {})
     return {key: str(value).lower() if isinstance(value, bool) else str(value) for key, value in chosen.items()}
+
+
+@contextmanager
+def numbered(role: str, number: int) -> Iterator[None]:
+    """Say in an error which input or output it is about."""
+    try:
+        yield
+    except ValueError as error:
+        raise ValueError(f"{role} {number}: {error}") from error

@@ -75,7 +75,7 @@ def test_names_with_odd_characters_run(spark):
 
 def test_two_inputs_may_not_share_a_name(spark, sf_dir):
     spec = {"name": "t", "datasource": "FILES", "file-type": "parquet", "file-path": f"{sf_dir}/nation.parquet"}
-    with pytest.raises(ValueError, match="two inputs"):
+    with pytest.raises(ValueError, match="input 2: two inputs"):
         load_inputs(spark, [spec, spec])
 
 

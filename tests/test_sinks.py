@@ -105,7 +105,7 @@ def test_the_order_of_a_result_survives_several_outputs(spark, tmp_path):
 
 
 def test_a_wrong_output_stops_the_job_before_any_write(spark, tmp_path):
-    with pytest.raises(ValueError, match="mongo"):
+    with pytest.raises(ValueError, match="output 2: .*mongo"):
         write_outputs(spark.range(1), [out(tmp_path / "a"), {"datasink": "M", "config": {"type": "mongo"}}])
     with pytest.raises(ValueError, match="mode"):
         write_outputs(spark.range(1), [out(tmp_path / "a"), out(tmp_path / "b", mode="ignore")])
