@@ -91,8 +91,8 @@ def _rates() -> list[tuple[str, Column, bool, bool, float]]:
     return [
         ("word_length", F.col("_m.word_chars") / words, True, True, 2.0),
         ("symbol_rate", F.col("_m.n_symbols") / chars, False, True, 0.05),
-        ("dup_line_rate", F.col("_m.n_dup_lines") / words, False, True, 0.05),
-        ("repeat_rate", F.col("_m.n_repeat_words") / words, False, True, 0.1),
+        ("dup_line_rate", F.col("_m.n_dup_lines") / words, False, True, 0.15),
+        ("repeat_rate", F.col("_m.n_repeat_words") / words, False, True, 0.2),
     ]
 
 
