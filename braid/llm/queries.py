@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braid.llm import dedup, quality, secret_scan
+from braid.llm import bpe, dedup, langid, packing, pii, quality, secret_scan, substring, token_counts
+
+
+TOKEN_LIMIT = 1024
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +26,34 @@ def _digest(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.substring_dedup(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", _digest(F.col("kept_text")).alias("kept_sha256"))
+
+
+def _tokenizer(name: str) -> str:
+    """Where a public tokenizer's file is; drivers and executors have the package alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _tokenizer("byte_bpe_50k.tiktoken")
+    found = bpe.decode_ids(bpe.encode_texts(_documents(spark, sf_dir), path), path)
+    written_out = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _digest(written_out).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.token_counts(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(_documents(spark, sf_dir))
 
 
-# char(64 + i) to char(96 + i): DuckDB's translate changes A-Z alone, as the operator does.
 OP5_SQL = """
     WITH n AS (
       SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
@@ -49,9 +75,37 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, _digest(_joined(base)).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), live)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_documents(spark, sf_dir))
+    names = F.array(*map(F.lit, pii.KINDS))
+    named = F.transform("spans", lambda x: F.struct(F.get(names, x["kind"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    found = found.select("doc_id", F.filter(named, lambda x: x["kind"] != "term").alias("base"), named.alias("spans"))
+    counts = [F.size(F.filter(F.col("base.kind"), F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, _digest(_joined(F.col("base"))).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), end_id=1, with_ids=False)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2
+    learned = docs.filter(~F.coalesce(held_out, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    model = langid.fit(learned.select(F.col("doc_id").alias("key"), "lang", "text"))
+    found = langid.identified(docs, model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 _QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_bpe": op2_bpe,
+    "op3_token_counts": op3_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_personal_data": op6_personal_data,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
     "op10_secrets": op10_secrets,
 }
 

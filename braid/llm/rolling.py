@@ -100,15 +100,15 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), at
 
 
-def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[Block]:
-    """The texts of a column, block by block."""
+def blocks(column: pa.Array | pa.ChunkedArray, between: np.ndarray = IS_SPACE) -> Iterator[Block]:
+    """The texts of a column, block by block. ``between`` says of each byte value whether it stands between words."""
     data, at = buffers(column)
     low = 0
     while low < len(at) - 1:
         high = max(int(np.searchsorted(at, at[low] + BLOCK_BYTES, "right")) - 1, low + 1)
         text_at = at[low : high + 1] - at[low]
         part = data[at[low] : at[high]]
-        word = ~IS_SPACE[part]
+        word = ~between[part]
         # A word starts where a word byte follows a space or the start of its text.
         edge = np.zeros(len(part) + 1, bool)
         edge[text_at] = True
