@@ -69,77 +69,82 @@ def _dup_lines(block) -> np.ndarray:
     return out
 
 
-def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Every row and column of ``docs`` with a struct ``_m`` of its measures. A column named ``_m`` may not be there."""
-    place = docs.columns.index(text_col)
+def measured(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """``row``, a struct that has the text, with a struct ``m`` of its measures."""
     kind = pa.struct([(name, pa.int64()) for name in MEASURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = measure_texts(batch.column(place))
+            found = measure_texts(batch.column("row").field(text_col))
             struct = pa.StructArray.from_arrays([pa.array(found[name]) for name in MEASURES], fields=list(kind))
-            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, "_m"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), struct], names=["row", "m"])
 
     struct = T.StructType([T.StructField(name, T.LongType()) for name in MEASURES])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_m", struct)]))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("m", struct)]))
 
 
 # The rates that adapt: name, measure as a share, which side is bad, and the least distance from the median at which a text
 # may be called unusual, so that a group of very even texts does not drop its slightly less even ones.
 def _rates() -> list[tuple[str, Column, bool, bool, float]]:
-    words, chars = F.greatest(F.col("_m.n_words"), F.lit(1)), F.greatest(F.col("_m.word_chars"), F.lit(1))
+    words, chars = F.greatest(F.col("m.n_words"), F.lit(1)), F.greatest(F.col("m.word_chars"), F.lit(1))
     return [
-        ("word_length", F.col("_m.word_chars") / words, True, True, 2.0),
-        ("symbol_rate", F.col("_m.n_symbols") / chars, False, True, 0.05),
-        ("dup_line_rate", F.col("_m.n_dup_lines") / words, False, True, 0.15),
-        ("repeat_rate", F.col("_m.n_repeat_words") / words, False, True, 0.2),
+        ("word_length", F.col("m.word_chars") / words, True, True, 2.0),
+        ("symbol_rate", F.col("m.n_symbols") / chars, False, True, 0.05),
+        ("dup_line_rate", F.col("m.n_dup_lines") / words, False, True, 0.15),
+        ("repeat_rate", F.col("m.n_repeat_words") / words, False, True, 0.2),
     ]
 
 
 def base_failed() -> Column:
     """The fixed rules: too few words, or too many in repeated windows."""
-    return (F.col("_m.n_words") < 10) | (100 * F.col("_m.n_repeat_words") > 20 * F.col("_m.n_words"))
+    return (F.col("m.n_words") < 10) | (100 * F.col("m.n_repeat_words") > 20 * F.col("m.n_words"))
 
 
-def fences(rows: DataFrame, groups: tuple[str, ...], k: int = 200, spread: float = 3.0) -> DataFrame:
-    """Per group, the lowest and highest usual value of each rate: quartiles of a mergeable sketch, widened by ``spread``
-    times their distance. Texts that fail the fixed rules do not shape the fences. ``k`` sets the sketch's accuracy."""
+def fences(rows: DataFrame, k: int = 200, spread: float = 3.0) -> DataFrame:
+    """Per group (``g0``, ``g1``), the lowest and highest usual value of each rate: quartiles of a mergeable sketch, widened by
+    ``spread`` times their distance. Texts that fail the fixed rules do not shape the fences. ``k`` sets the sketch's accuracy."""
     rates = _rates()
-    sketched = rows.filter(~base_failed()).groupBy(*groups).agg(*[F.kll_sketch_agg_double(rate, F.lit(k)).alias(name) for name, rate, *_ in rates])
+    sketched = rows.filter(~base_failed()).groupBy("g0", "g1").agg(*[F.kll_sketch_agg_double(rate, F.lit(k)).alias(name) for name, rate, *_ in rates])
     wanted = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
-    out = sketched.select(*groups, *[F.kll_sketch_get_quantile_double(F.col(name), wanted).alias(name) for name, *_ in rates])
+    quartiles = sketched.select("g0", "g1", *[F.kll_sketch_get_quantile_double(F.col(name), wanted).alias(name) for name, *_ in rates])
+    limits = []
     for name, _, _, _, least in rates:
         q = F.col(name)
         reach = spread * (q[2] - q[0])
-        out = out.withColumn(name, F.struct((F.least(q[0] - reach, q[1] - least)).alias("low"), F.greatest(q[2] + reach, q[1] + least).alias("high")))
-    return out
+        limits.append(F.struct(F.least(q[0] - reach, q[1] - least).alias("low"), F.greatest(q[2] + reach, q[1] + least).alias("high")).alias(name))
+    return quartiles.select("g0", "g1", F.struct(*limits).alias("fence"))
 
 
 def judged(docs: DataFrame, text_col: str = "text", groups: tuple[str, str] = ("lang", "source"), k: int = 200, spread: float = 3.0) -> DataFrame:
-    """Every row of ``docs`` with ``_m`` (its measures), ``_base_failed`` and ``_kept``.
+    """Per row of ``docs``: ``row`` (all its columns), ``m`` (its measures), ``base_failed`` and ``kept``.
 
     The texts are measured twice, once for the fences and once for the verdict, rather than shuffled or stored.
     """
-    slim = measured(docs.select(*[F.col(g) for g in groups], F.col(text_col)), text_col).select(*groups, "_m")
-    limits = fences(slim, groups, k, spread).select(*[F.col(g).alias(f"_group_{i}") for i, g in enumerate(groups)], F.struct(*[name for name, *_ in _rates()]).alias("_fence"))
-    rows = measured(docs, text_col)
-    on = [rows[g].eqNullSafe(limits[f"_group_{i}"]) for i, g in enumerate(groups)]
-    rows = rows.join(limits, on, "left")
+
+    def rows(columns: list[str]) -> DataFrame:
+        found = measured(docs.select(F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)]).alias("row")), text_col)
+        return found.select("*", *[F.col(f"row.`{g}`").alias(f"g{i}") for i, g in enumerate(groups)])
+
+    limits = fences(rows([text_col, *groups]).drop("row"), k, spread).select(F.col("g0").alias("f0"), F.col("g1").alias("f1"), "fence")
+    out = rows(docs.columns).join(limits, F.col("g0").eqNullSafe(F.col("f0")) & F.col("g1").eqNullSafe(F.col("f1")), "left")
     usual = F.lit(True)
     # A short text's mean word length strays more: its fence widens with the error of a mean over so few words.
-    slack = 8 / F.sqrt(F.greatest(F.col("_m.n_words"), F.lit(1)))
+    slack = 8 / F.sqrt(F.greatest(F.col("m.n_words"), F.lit(1)))
     for name, rate, below, above, _ in _rates():
         more = slack if name == "word_length" else F.lit(0.0)
         if below:
-            usual &= F.coalesce(rate >= F.col(f"_fence.{name}.low") - more, F.lit(True))
+            usual &= F.coalesce(rate >= F.col(f"fence.{name}.low") - more, F.lit(True))
         if above:
-            usual &= F.coalesce(rate <= F.col(f"_fence.{name}.high") + more, F.lit(True))
-    rows = rows.withColumn("_base_failed", base_failed())
-    return rows.withColumn("_kept", ~F.col("_base_failed") & usual).drop("_fence", *[f"_group_{i}" for i in range(len(groups))])
+            usual &= F.coalesce(rate <= F.col(f"fence.{name}.high") + more, F.lit(True))
+    return out.select("row", "m", base_failed().alias("base_failed"), (~base_failed() & usual).alias("kept"))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
     """One row per row of ``docs``: its id, the measures, ``base_failed`` and ``kept``. Other columns are not looked at."""
-    names = [F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(groups[0]).alias("g0"), F.col(groups[1]).alias("g1")]
-    rows = judged(docs.select(*names), "text", ("g0", "g1"))
-    return rows.select(F.col("id").alias(id_col), *[F.col(f"_m.{name}").alias(name) for name in MEASURES], F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    rows = judged(docs.select(*dict.fromkeys([id_col, text_col, *groups])), text_col, groups)
+    return rows.select(F.col(f"row.`{id_col}`").alias(id_col), *[F.col(f"m.{name}").alias(name) for name in MEASURES], "base_failed", "kept")
+
+
+def with_quality(docs: DataFrame, text_col: str = "text", groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns."""
+    return judged(docs, text_col, groups).filter("kept").select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braid.llm import bpe, dedup, langid, packing, pii, quality, secret_scan, substring, token_counts
+from braid.llm import bpe, dedup, jaccard, langid, packing, pii, quality, secret_scan, substring, token_counts
 
 
 TOKEN_LIMIT = 1024
@@ -50,6 +50,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -101,6 +105,7 @@ _QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_personal_data": op6_personal_data,
     "op7_packing": op7_packing,

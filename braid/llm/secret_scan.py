@@ -91,30 +91,34 @@ def secrets(
 
 def without_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "lang",
-    example_owners: int = EXAMPLE_OWNERS, mark: str = "[SECRET]",
+    example_owners: int = EXAMPLE_OWNERS, mark: str = "[SECRET]", length_col: str | None = None,
 ) -> DataFrame:
-    """``docs`` with every live-looking value's span replaced by ``mark``; copied examples and all other text stay.
+    """``docs`` with every live-looking value's span replaced by ``mark``; copied examples and all other text stay. A column of
+    text lengths, if named, is set anew where a text changes.
 
     Which spans go depends on a text alone, so that rows with candidates meet their spans by the text's digest, and all
     other rows pass through without a shuffle.
     """
-    columns = docs.columns
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
     suspicious = F.lit(False)
     for pattern in PATTERNS.values():
         suspicious |= text.rlike(pattern)
     digest = F.sha2(F.encode(text, "UTF-8"), 256)
-    some = docs.filter(suspicious)
-    found = secrets(some.select(digest.alias("id"), text.alias("text"), F.col(f"`{owner_col}`").alias("owner"), F.col(f"`{repo_col}`").alias("repo")), "id", "text", "owner", "repo", example_owners)
-    spans = found.groupBy("id").agg(F.first("spans").alias("spans")).select(F.col("id").alias("_of"), F.filter("spans", lambda x: x["live"]).alias("_spans")).filter(F.size("_spans") > 0)
+    some = rows.filter(suspicious)
+    found = secrets(some.select(digest.alias("id"), text.alias("text"), F.col(f"row.`{owner_col}`").alias("owner"), F.col(f"row.`{repo_col}`").alias("repo")), "id", "text", "owner", "repo", example_owners)
+    spans = found.groupBy("id").agg(F.first("spans").alias("spans")).select(F.col("id").alias("of"), F.filter("spans", lambda x: x["live"]).alias("spans"))
+    some = some.join(spans.filter(F.size("spans") > 0), digest == F.col("of"), "left")
 
     def step(state: Column, x: Column) -> Column:
-        new = x["start"] >= state["at"]
         piece = F.concat(F.substr(text, state["at"] + 1, F.greatest(x["start"] - state["at"], F.lit(0))), F.lit(mark))
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.when(new, F.concat(state["out"], piece)).otherwise(state["out"]).alias("out"))
-
-    cleaned = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)))
-    some = some.join(spans, digest == F.col("_of"), "left")
-    changed = F.when(F.col("_spans").isNotNull(), cleaned).otherwise(F.col(f"`{text_col}`")).alias(text_col)
-    some = some.select(*[changed if c == text_col else F.col(f"`{c}`") for c in columns])
-    return docs.filter(~suspicious).unionByName(some)
+        out = F.when(x["start"] >= state["at"], F.concat(state["out"], piece)).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), out.alias("out"))
+
+    masked = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)))
+    some = some.select("row", masked.alias("masked"))
+    row = F.col("row").withField(f"`{text_col}`", F.col("masked"))
+    if length_col:
+        row = row.withField(f"`{length_col}`", F.char_length("masked").cast(docs.schema[length_col].dataType))
+    changed = F.when(F.col("masked").isNull(), F.col("row")).otherwise(row)
+    return rows.filter(~suspicious).unionAll(some.select(changed.alias("row"))).select("row.*")
