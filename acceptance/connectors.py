@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,10 +64,16 @@ def scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_query(spark, load_inputs(spark, [orders, as_csv, as_json]), sql)
 
 
-def scan_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+@functools.cache
+def _catalog_table(spark: SparkSession, sf_dir: str) -> str:
+    """A copy of ``customer`` in the catalog, made once per session."""
     name = f"customer_{uuid.uuid4().hex}"
-    path = fresh_path(spark, name)
-    table(spark, sf_dir, "customer").write.option("path", path).saveAsTable(f"default.{name}")
+    table(spark, sf_dir, "customer").write.option("path", fresh_path(spark, name)).saveAsTable(f"default.{name}")
+    return name
+
+
+def scan_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _catalog_table(spark, sf_dir)
     spec = {"datasource": "HIVE", "config": {"type": "hive"}, "database": "default", "table": name}
     return run_query(spark, load_inputs(spark, [spec]), f"SELECT * FROM HIVE.default.{name}")
 
@@ -122,6 +129,18 @@ def bind_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_query(spark, frames, BOUND_JOIN.format(orders=first, customer=second, kept=kept))
 
 
+PLAIN = """
+    SELECT o_orderkey AS {orders}, o_custkey.c_name AS c_name, o_totalprice FROM {orders}
+    JOIN {customer} AS o_custkey ON {orders}.o_custkey = o_custkey.c_custkey WHERE o_totalprice > {low}"""
+
+
+def bind_plain_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs named by one word: one like a column and a parameter, one like an alias; columns, alias and parameter stay."""
+    frames = {"low": table(spark, sf_dir, "orders"), "o_custkey": table(spark, sf_dir, "customer")}
+    sql = PLAIN.format(orders="low", customer="o_custkey", low=":low")
+    return run_query(spark, frames, sql, params={"low": 50000})
+
+
 def bind_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries with the same name over different tables do not disturb each other."""
     name = "SALES.tpch.t"
@@ -256,7 +275,7 @@ def queries() -> dict:
         for query in (
             scan_parquet, scan_csv_declared, scan_json_declared, scan_csv_inferred, scan_json_inferred, scan_files,
             scan_catalog_table, typed_schema_all_types, bind_database_names, bind_file_names, bind_isolation,
-            dynamic_conditions, read_only_guard, sink_parquet, sink_csv, sink_json_append, sink_json_nullfill,
+            dynamic_conditions, bind_plain_names, read_only_guard, sink_parquet, sink_csv, sink_json_append, sink_json_nullfill,
             sink_repartition, sink_fanout, job_end_to_end,
         )
     } | {"lowercase_columns": lowercase_output}
@@ -285,6 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "typed_schema_all_types": ALL_TYPES.format(lineitem="lineitem"),
         "bind_database_names": join.format(kept=f"'{ORDERS}'"),
         "bind_file_names": join.format(kept="'as written'"),
+        "bind_plain_names": PLAIN.format(orders="orders", customer="customer", low="50000").replace("AS orders", "AS low", 1),
         "bind_isolation": "SELECT 'orders' AS tag, o_orderkey AS k FROM orders UNION ALL "
         "SELECT 'customer' AS tag, c_custkey AS k FROM customer",
         "dynamic_conditions": CONDITIONED.format(orders="orders", first=CONDITIONS[0], second=CONDITIONS[1]),

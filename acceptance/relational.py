@@ -193,24 +193,39 @@ PAIRS = {
         """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
     ),
+    # Every seventh text is cut off and every eleventh is null; what cannot be read is null.
+    "json_struct_fn": (
+        """
+        SELECT event_id, s.k AS k, to_json(named_struct('k', s.k)) AS again
+        FROM (SELECT event_id, from_json(CASE WHEN event_id % 11 = 3 THEN NULL WHEN event_id % 7 = 1
+                THEN SUBSTRING(props, 1, LENGTH(props) - 1) ELSE props END, 'k INT') AS s FROM WEB.tpch.events)""",
+        """
+        SELECT event_id, k, CASE WHEN k IS NOT NULL THEN '{"k":' || k || '}' WHEN props IS NOT NULL AND event_id % 11 <> 3 THEN '{}'
+          ELSE CASE WHEN event_id % 11 = 3 OR props IS NULL THEN '{}' END END AS again
+        FROM (SELECT event_id, props, CASE WHEN event_id % 11 = 3 OR event_id % 7 = 1 THEN NULL
+                ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events)""",
+    ),
 }
 
-BANDS = """
-    SELECT DISTINCT p_size AS band, (p_size - 1) * 10000 AS low, p_size * 10000 AS high FROM SALES.tpch.part"""
-RANGE_JOIN = """
-    SELECT o_orderkey, o_totalprice, band FROM SALES.tpch.orders
-    JOIN bands ON FLOOR(o_totalprice / 10000) + 1 = band AND o_totalprice >= low AND o_totalprice < high"""
+# Price ranges of uneven width, one per part size; they overlap, and some cover many bins.
+RANGES = "SELECT DISTINCT p_size AS range_id, p_size * p_size * 150 AS low, p_size * p_size * 150 + 700 * p_size AS high FROM {part}"
+BIN = 5000
+RANGE_JOIN = f"""
+    SELECT o_orderkey, o_totalprice, range_id FROM SALES.tpch.orders
+    JOIN (SELECT range_id, low, high, EXPLODE(SEQUENCE(FLOOR(low / {BIN}), FLOOR(high / {BIN}))) AS bin FROM ranges)
+      ON FLOOR(o_totalprice / {BIN}) = bin{{bounds}}"""
+BOUNDS = " AND o_totalprice >= low AND o_totalprice < high"
 
 
-def range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the price band they fall into, one band per part size.
+def range_join(spark: SparkSession, sf_dir: str, bounds: str = BOUNDS) -> DataFrame:
+    """Orders with every price range that they lie in.
 
-    The band number is a second, equal key next to the two bounds, so Spark looks bands up instead of
-    comparing each order with each band. The bands are written first: their true size then decides
+    Each range is repeated for every bin that it touches, so that Spark looks up an order's bin instead of comparing it with
+    each range; the bounds decide about what the bin lets through. The ranges are written first: their true size then decides
     whether they are broadcast.
     """
-    bands = written(ask(spark, sf_dir, BANDS), "bands")
-    return ask(spark, sf_dir, RANGE_JOIN, {"bands": bands})
+    ranges = written(ask(spark, sf_dir, RANGES.format(part="SALES.tpch.part")), "ranges")
+    return ask(spark, sf_dir, RANGE_JOIN.format(bounds=bounds), {"ranges": ranges})
 
 
 def queries() -> dict:
@@ -221,11 +236,10 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     shared = {key: re.sub(r"\b(SALES|WEB|CRM|GEO)\.tpch\.", "", sql) for key, sql in SHARED.items()}
-    bands = "SELECT DISTINCT p_size AS band, (p_size - 1) * 10000 AS low, p_size * 10000 AS high FROM part"
     return {
         **shared,
         **{key: pair[1] for key, pair in PAIRS.items()},
         "range_join": f"""
-        SELECT o_orderkey, o_totalprice, band FROM orders
-        JOIN ({bands}) ON o_totalprice >= low AND o_totalprice < high""",
+        SELECT o_orderkey, o_totalprice, range_id FROM orders
+        JOIN ({RANGES.format(part="part")}) ON o_totalprice >= low AND o_totalprice < high""",
     }

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from acceptance.tables import loaded
-from braid import run_query
-from braid.operators.groups import ROWS_PER_TASK, number_slices, split_large_groups
-from braid.shared import written
+from braid import over_groups
 
 RANK = """
     SELECT o_custkey, o_orderkey,
@@ -27,103 +22,27 @@ FRAME = """
     FROM {events}"""
 
 
-def _look_up(rows: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row with the facts for its values in ``columns``, null equal to null.
+def window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_orders(loaded(spark, sf_dir, "SALES.tpch.orders"))
+
 
-    The facts are few, one per slice or per large group and value. Written first, they show Spark
-    their true size, so that it broadcasts them and leaves the many rows where they are.
-    """
-    facts = written(facts.withColumnsRenamed({column: f"_{column}" for column in columns}), "facts")
-    on = reduce(Column.__and__, [rows[column].eqNullSafe(facts[f"_{column}"]) for column in columns])
-    return rows.join(facts, on).drop(*[f"_{column}" for column in columns])
+def rank_orders(orders: DataFrame) -> DataFrame:
+    orders = orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
+    numbered = over_groups(orders, ["o_custkey"], ["o_totalprice DESC", "o_orderkey"], row_number="rn")
+    ranked = over_groups(numbered.select("o_custkey", "o_orderkey", "o_orderpriority", "rn"), ["o_custkey"], ["o_orderpriority"], rank="rk", dense_rank="dr")
+    return ranked.select("o_custkey", "o_orderkey", "rn", "rk", "dr")
 
 
-def window_rank(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) -> DataFrame:
-    return rank_orders(spark, loaded(spark, sf_dir, "SALES.tpch.orders"), limit)
+def window_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame_events(loaded(spark, sf_dir, "WEB.tpch.events"))
 
 
-def rank_orders(spark: SparkSession, orders: DataFrame, limit: int) -> DataFrame:
-    orders = orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
-    usual, large, slices = split_large_groups(orders, ["o_custkey"], limit)
-    result = run_query(spark, {"SALES.tpch.orders": usual}, RANK.format(orders="SALES.tpch.orders"))
-    return result if large is None else result.unionByName(_rank_large(large, slices))
-
-
-def _rank_large(large: DataFrame, slices: int) -> DataFrame:
-    order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
-    rows = number_slices(large, ["o_custkey"], order, slices)
-    # Row number: place within the slice, plus the rows of all slices before.
-    along = Window.partitionBy("o_custkey").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        rows.groupBy("o_custkey", "slice").agg(F.count("*").alias("n"))
-        .select("o_custkey", "slice", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("rows_before"))
-    )
-    place = F.row_number().over(Window.partitionBy("o_custkey", "slice").orderBy(*order))
-    numbered = _look_up(rows.withColumn("place", place), before, ["o_custkey", "slice"])
-    # Ranks depend on the priority alone: rank the few priorities of a customer, then look them up.
-    by_priority = Window.partitionBy("o_custkey").orderBy("o_orderpriority")
-    lower = by_priority.rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        rows.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
-        .select(
-            "o_custkey",
-            "o_orderpriority",
-            (F.coalesce(F.sum("n").over(lower), F.lit(0)) + 1).alias("rk"),
-            F.row_number().over(by_priority).cast("bigint").alias("dr"),
-        )
-    )
-    ranked = _look_up(numbered, ranks, ["o_custkey", "o_orderpriority"])
-    return ranked.select("o_custkey", "o_orderkey", (F.col("place") + F.col("rows_before")).alias("rn"), "rk", "dr")
-
-
-def window_frame(spark: SparkSession, sf_dir: str, limit: int = ROWS_PER_TASK) -> DataFrame:
-    return frame_events(spark, loaded(spark, sf_dir, "WEB.tpch.events"), limit)
-
-
-def frame_events(spark: SparkSession, events: DataFrame, limit: int) -> DataFrame:
-    events = events.select("event_id", "user_id", "ts", "value")
-    usual, large, slices = split_large_groups(events, ["user_id"], limit)
-    result = run_query(spark, {"WEB.tpch.events": usual}, FRAME.format(events="WEB.tpch.events"))
-    return result if large is None else result.unionByName(_frame_large(large, slices))
-
-
-def _frame_large(large: DataFrame, slices: int) -> DataFrame:
-    order = [F.asc("ts"), F.asc("event_id")]
-    rows = number_slices(large, ["user_id"], order, slices)
-    within = Window.partitionBy("user_id", "slice").orderBy(*order)
-    local = rows.select(
-        "user_id",
-        "slice",
-        "event_id",
-        F.row_number().over(within).alias("place"),
-        F.max("value").over(within.rowsBetween(Window.unboundedPreceding, 0)).alias("max_here"),
-        F.lag("event_id").over(within).alias("prev_here"),
-        F.lead("event_id").over(within).alias("next_here"),
-    )
-    # One row per slice: what the rows of the slices around it need to know.
-    ends = rows.groupBy("user_id", "slice").agg(
-        F.count("*").alias("n"),
-        F.max("value").alias("top"),
-        F.min_by("event_id", F.struct("ts", "event_id")).alias("first_id"),
-        F.max_by("event_id", F.struct("ts", "event_id")).alias("last_id"),
-    )
-    along = Window.partitionBy("user_id").orderBy("slice")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    around = ends.select(
-        "user_id",
-        "slice",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_before"),
-        F.max("top").over(earlier).alias("max_before"),
-        F.lag("last_id").over(along).alias("id_before"),
-        F.lead("first_id").over(along).alias("id_after"),
-    )
-    return _look_up(local, around, ["user_id", "slice"]).select(
-        "event_id",
-        F.least(F.col("place") + F.col("rows_before"), F.lit(3)).alias("n3"),
-        F.greatest("max_here", "max_before").alias("running_max"),
-        F.coalesce("prev_here", "id_before").alias("prev_id"),
-        F.coalesce("next_here", "id_after").alias("next_id"),
-    )
+def frame_events(events: DataFrame) -> DataFrame:
+    framed = over_groups(
+        events.select("event_id", "user_id", "ts", "value"), ["user_id"], ["ts", "event_id"],
+        last_rows={"n3": 3}, running={"running_max": ("max", "value")}, previous={"prev_id": "event_id"}, following={"next_id": "event_id"},
+    )
+    return framed.select("event_id", "n3", "running_max", "prev_id", "next_id")
 
 
 def queries() -> dict:

@@ -2,7 +2,8 @@
 
 from braid.operators.query import run_query
 from braid.operators.sinks import write_output, write_outputs
+from braid.operators.windows import over_groups
 from braid.plans.job import run_job
 from braid.sources import load_inputs, read_source
 
-__all__ = ["load_inputs", "read_source", "run_job", "run_query", "write_output", "write_outputs"]
+__all__ = ["load_inputs", "over_groups", "read_source", "run_job", "run_query", "write_output", "write_outputs"]

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
 from braid.spec import get
 
 # Stretches of SQL text in which nothing is replaced. Hints look like comments but name tables.
 _LITERAL = r"""[rR]'[^']*' | [rR]"[^"]*" | '(?:[^'\\]|\\.|'')*' | "(?:[^"\\]|\\.|"")*" | `(?:[^`]|``)*`"""
-_COMMENT = r"--[^\n]* | /\*(?!\+).*?\*/"
-_PLACEHOLDER = r"\$COND\{(?P<condition>\d+)\}"
-_LAST_SEMICOLON = rf";(?=(?:\s|{_COMMENT})*\Z)"
+_OPENING = re.compile(rf"(?P<literal>{_LITERAL}) | (?P<line>--[^\n]*) | (?P<block>/\*(?!\+))", re.X | re.S)
+_PLACEHOLDER = re.compile(r"\$COND\{(?P<condition>\d+)\}")
+_WORD = re.compile(r"[A-Za-z_]\w*")
 
 # How a file path is spelled as a name, by the datasource it comes from.
 _PATH_PREFIXES = {"S3": ("s3a://", "S3."), "FILES": ("file://", "FILES"), "HDFS": ("hdfs://", "HDFS")}
@@ -45,6 +46,30 @@ def view_name(name: str) -> str:
     return f"v_{re.sub(r'[^A-Za-z0-9]+', '_', name)}_{uuid.uuid4().hex}"
 
 
+def _parts(sql: str) -> Iterator[tuple[str, str]]:
+    """The text in order, as ``code``, ``literal`` and ``comment``. Block comments nest, as in Spark's grammar."""
+    at = 0
+    while at < len(sql):
+        opening = _OPENING.search(sql, at)
+        if opening is None:
+            yield "code", sql[at:]
+            return
+        if opening.start() > at:
+            yield "code", sql[at : opening.start()]
+        end = _block_end(sql, opening.start()) if opening["block"] else opening.end()
+        yield "literal" if opening["literal"] else "comment", sql[opening.start() : end]
+        at = end
+
+
+def _block_end(sql: str, start: int) -> int:
+    depth = 0
+    for mark in re.compile(r"/\*|\*/").finditer(sql, start):
+        depth += 1 if mark[0] == "/*" else -1
+        if depth == 0:
+            return mark.end()
+    return len(sql)
+
+
 def fill_conditions(sql: str, conditions: list[str]) -> str:
     """Put the n-th condition, as it is, in place of ``$COND{n}``, also within quotes, but not in comments."""
     used = set()
@@ -56,10 +81,7 @@ def fill_conditions(sql: str, conditions: list[str]) -> str:
         used.add(number)
         return str(conditions[number - 1])
 
-    def fill_part(match: re.Match) -> str:
-        return match[0] if match["comment"] else re.sub(_PLACEHOLDER, fill, match[0])
-
-    filled = re.sub(rf"(?P<comment>{_COMMENT}) | {_LITERAL} | {_PLACEHOLDER}", fill_part, sql, flags=re.X | re.S)
+    filled = "".join(text if kind == "comment" else _PLACEHOLDER.sub(fill, text) for kind, text in _parts(sql))
     unused = sorted(set(range(1, len(conditions) + 1)) - used)
     if unused:
         raise ValueError(f"dynamic conditions {unused} are not used in the query")
@@ -67,16 +89,31 @@ def fill_conditions(sql: str, conditions: list[str]) -> str:
 
 
 def bind_names(sql: str, views: dict[str, str]) -> str:
-    """Replace each input's name by its view, outside literals and comments, and drop a last ``;``.
+    """Bind each input's name to its view, and drop a last ``;``.
 
-    Longer names go first, so a name that begins like another one still finds its own view.
+    A name of several parts is replaced by its view, outside literals and comments, longer names first, so that a name that
+    begins like another one still finds its own view. A name that is one word may also be a column, an alias or a parameter;
+    it stays as it is and becomes a name that the query starts with.
     """
-    names = "|".join(re.escape(name) for name in sorted(views, key=len, reverse=True)) or r"(?!)"
-    pattern = rf"{_LITERAL} | {_COMMENT} | (?P<end>{_LAST_SEMICOLON}) | (?<![\w.$])(?P<name>{names})(?!\w)"
-
-    def swap(match: re.Match) -> str:
-        if match["end"]:
-            return ""
-        return views[match["name"]] if match["name"] else match[0]
-
-    return re.sub(pattern, swap, sql, flags=re.X | re.S)
+    plain = {name: view for name, view in views.items() if _WORD.fullmatch(name)}
+    names = "|".join(re.escape(name) for name in sorted(views.keys() - plain, key=len, reverse=True)) or r"(?!)"
+    named = re.compile(rf"(?<![\w.$])(?:{names})(?!\w)")
+    parts = list(_without_last_semicolon(list(_parts(sql))))
+    bound = "".join(named.sub(lambda match: views[match[0]], text) if kind == "code" else text for kind, text in parts)
+    if not plain:
+        return bound
+    given = ", ".join(f"{name} AS (TABLE {view})" for name, view in plain.items())
+    return f"WITH {given} ({bound}\n)"
+
+
+def _without_last_semicolon(parts: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    for number in range(len(parts) - 1, -1, -1):
+        kind, text = parts[number]
+        if kind == "code" and text.strip():
+            if text.rstrip().endswith(";"):
+                head, _, tail = text.rpartition(";")
+                parts[number] = ("code", head + tail)
+            break
+        if kind == "literal":
+            break
+    return parts

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
 from pyspark.errors import ParseException
@@ -30,10 +31,48 @@ def run_query(
     try:
         # Only a query may stand in parentheses, and a statement that opens with one is a query: Spark's
         # own grammar turns away every write and command, and the plan is that of the bare query.
-        return spark.sql(f"({text}\n)", args=params)
+        result = spark.sql(f"({text}\n)", args=params)
+        _refuse_commands(result)
+        return result
     except ParseException as error:
         raise ValueError(f"not a single read-only query: {error}") from error
     finally:
         # The result is analyzed by now and no longer needs the names.
         for view in views.values():
             spark.catalog.dropTempView(view)
+
+
+# What runs programs or methods from within a query, by the names of Spark's plan nodes and expressions.
+_RUNS_SCRIPTS = "ScriptTransformation"
+_CALLS_METHODS = {"CallMethodViaReflection", "TryReflect"}
+_CALLS_LOOK_LIKE = re.compile(r"\b(?:reflect|java_method|try_reflect)\(")
+
+
+def _refuse_commands(result: DataFrame) -> None:
+    """``ValueError`` if the analysed plan starts scripts or calls Java methods, anywhere in it."""
+    todo = [result._jdf.queryExecution().analyzed()]
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == _RUNS_SCRIPTS:
+            raise ValueError("not a read-only query: it runs a script")
+        expressions = plan.expressions()
+        # A literal may look like a call; only the kinds of expressions tell.
+        if _CALLS_LOOK_LIKE.search(expressions.mkString(" ")) and _calls_methods(_items(expressions)):
+            raise ValueError("not a read-only query: it calls a Java method")
+        todo += [*_items(plan.children()), *_items(plan.innerChildren()), *_items(plan.subqueries())]
+
+
+def _calls_methods(expressions: list) -> bool:
+    todo = list(expressions)
+    while todo:
+        expression = todo.pop()
+        if expression.getClass().getSimpleName() in _CALLS_METHODS:
+            return True
+        todo += _items(expression.children())
+    return False
+
+
+def _items(seq) -> list:
+    """A Scala sequence's items, those that are nodes of a tree."""
+    return [item for item in (seq.apply(i) for i in range(seq.size())) if hasattr(item, "children")]

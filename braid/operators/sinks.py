@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braid.shared import checkpoint_dir
+from braid.shared import written
 from braid.sources.files import CSV_KEYS, file_path, file_type, s3_options
 from braid.sources.jdbc import connection_options
 from braid.spec import flag, format_options, get, numbered, store_type
@@ -19,9 +21,9 @@ BATCH_ROWS = 10_000
 def write_outputs(df: DataFrame, outputs: list[dict]) -> DataFrame:
     """Write one result to every output, in order, and return it.
 
-    The query runs once: with several outputs its result is kept, on the shared folder where the
-    session has one, so that all outputs get the same rows, in the same order, even when executors are
-    lost in between.
+    The query runs once: with several outputs its rows are kept in the session's shared folder, so that all outputs get the
+    same rows, in the same order if the query sorts them, even when executors are lost in between. ``braid.shared.discard``
+    removes what is kept.
     The outputs are not one transaction; those written before a failure stay.
     """
     if not outputs:
@@ -29,21 +31,18 @@ def write_outputs(df: DataFrame, outputs: list[dict]) -> DataFrame:
     for number, output in enumerate(outputs, start=1):
         with numbered("output", number):
             _check(output)
-    if len(outputs) == 1:
-        write_output(df, outputs[0])
-        return df
-    if checkpoint_dir(df.sparkSession):
-        kept = df.checkpoint()
-        for output in outputs:
-            write_output(kept, output)
-        return kept
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for output in outputs:
-            write_output(df, output)
-    finally:
-        df.unpersist()
-    return df
+    kept = df if len(outputs) == 1 else _kept(df)
+    for output in outputs:
+        write_output(kept, output)
+    return kept
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """The rows, written once; with a sorted result, the sorted order as well."""
+    if df._jdf.queryExecution().optimizedPlan().outputOrdering().isEmpty():
+        return written(df, "result")
+    place = f"_place_{uuid.uuid4().hex}"
+    return written(df.withColumn(place, F.monotonically_increasing_id()), "result").orderBy(place).drop(place)
 
 
 def write_output(df: DataFrame, output: dict) -> None:
@@ -117,12 +116,7 @@ def lowercase_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[column.lower() for column in df.columns])
 
 
-# Types for the columns of a new database table. A double gets a scale, so that it
-# keeps its fraction; all other types are Spark's own choice.
-_COLUMN_TYPES = {T.StringType(): "VARCHAR(200)", T.DoubleType(): "DECIMAL(38,10)", T.LongType(): "DECIMAL(20,0)"}
-
-
-def column_types(schema: T.StructType) -> str:
-    """Text for an output's ``column-types``, from the schema of the result."""
-    known = [field for field in schema if field.dataType in _COLUMN_TYPES]
-    return ", ".join(f"`{field.name}` {_COLUMN_TYPES[field.dataType]}" for field in known)
+def column_types(schema: T.StructType, text_length: int) -> str:
+    """Text for an output's ``column-types`` where a database needs text of a bounded length, as for keys. Without it Spark
+    takes the database's own types: text of any length, double precision, whole numbers as they are."""
+    return ", ".join(f"`{field.name}` VARCHAR({text_length})" for field in schema if isinstance(field.dataType, T.StringType))

@@ -11,9 +11,6 @@ from braid.spec import format_options, get
 
 DATABASE_TYPES = ("mysql", "postgres", "mssql", "oracle", "ibmdb2")
 
-# Largest table that is read in one piece when the input says nothing about how to split it.
-UNSPLIT_ROWS = 1_000_000
-DEFAULT_PARTITIONS = 32
 FETCH_ROWS = 10_000
 
 
@@ -56,49 +53,39 @@ def _url(url: str, kind: str, database: str | None) -> str:
 
 
 def read_table(spark: SparkSession, spec: dict, kind: str) -> DataFrame:
-    """Scan a table in parallel.
+    """Scan a table in as many tasks as the input says; how large the table is does not matter.
 
-    ``predicates`` (a list of conditions, one task each) is the way to split a table whose rows
-    crowd around few values. ``partition-column`` with ``num-partitions`` splits by value range; its
-    bounds are looked up in the database when not given, and only place the cuts, so no row is lost.
-    With neither, the table is read in one piece, but only after the database has counted its rows.
+    ``predicates`` (a list of conditions, one task each) is the way to split a table whose rows crowd around few values;
+    together they have to hold for every row exactly once, rows with nulls included. ``partition-column`` with
+    ``num-partitions`` splits by value range; its bounds are looked up in the database when not given, and only place the
+    cuts, so no row is lost. ``num-partitions`` of 1 alone reads the table in one task.
     """
     options = {"fetchsize": str(FETCH_ROWS), **connection_options(spec, kind)}
     predicates = get(spec, "predicates", None)
     if predicates:
         extra = {key: value for key, value in options.items() if key not in ("url", "dbtable")}
         return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=extra)
-    column = get(spec, "partition-column", None)
-    if column:
-        options.update(_ranges(spark, spec, options, column))
-    elif "partitionColumn" not in options and str(get(spec, "num-partitions", "")) != "1":
-        _refuse_large(spark, options)
+    column, count = get(spec, "partition-column", None), get(spec, "num-partitions", None)
+    if column and count is not None:
+        options.update(_ranges(spark, spec, options, column, str(count)))
+    elif "partitionColumn" not in options and (column or str(count) != "1"):
+        raise ValueError("say how to split the read: 'partition-column' with 'num-partitions', 'predicates', or 'num-partitions' of 1")
     return spark.read.format("jdbc").options(**options).load()
 
 
-def _ranges(spark: SparkSession, spec: dict, options: dict, column: str) -> dict[str, str]:
-    count = str(get(spec, "num-partitions", DEFAULT_PARTITIONS))
+def _ranges(spark: SparkSession, spec: dict, options: dict, column: str, count: str) -> dict[str, str]:
     low, high = get(spec, "lower-bound", None), get(spec, "upper-bound", None)
     if low is None or high is None:
         found = _ask(spark, options, f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {options['dbtable']}")
         low, high = (found[0] if low is None else low), (found[1] if high is None else high)
     if low is None or high is None:
         return {}
-    if isinstance(low, (Decimal, float)) and isinstance(high, (Decimal, float)):
-        # Spark takes whole numbers as bounds of a numeric column.
-        low, high = math.floor(low), math.ceil(high)
+    # Spark takes whole numbers as bounds of a numeric column.
+    low = math.floor(low) if isinstance(low, (Decimal, float)) else low
+    high = math.ceil(high) if isinstance(high, (Decimal, float)) else high
     return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": count}
 
 
-def _refuse_large(spark: SparkSession, options: dict) -> None:
-    rows = _ask(spark, options, f"SELECT COUNT(*) AS n FROM {options['dbtable']}")[0]
-    if rows > UNSPLIT_ROWS:
-        raise ValueError(
-            f"{options['dbtable']} has {rows} rows, too many for one task: give 'partition-column' or 'predicates' "
-            "(or num-partitions=1 to read it in one piece all the same)"
-        )
-
-
 def _ask(spark: SparkSession, options: dict, question: str):
     """One summary row, worked out by the database."""
     plain = {key: value for key, value in options.items() if key != "dbtable"}

@@ -26,6 +26,9 @@ V = {"A.b.t": "v1", "A.b.t_more": "v2", "A.b.t.x": "v3"}
         ("SELECT * FROM AxbXt, ZA.b.t, A.b.t2, Z.A.b.t", "SELECT * FROM AxbXt, ZA.b.t, A.b.t2, Z.A.b.t"),
         ("SELECT ';' FROM A.b.t; -- done; A.b.t", "SELECT ';' FROM v1 -- done; A.b.t"),
         ("SELECT 1; SELECT 2", "SELECT 1; SELECT 2"),
+        ("SELECT /* /* x */ it's */ id, 'a' FROM A.b.t WHERE 'z'='z'", "SELECT /* /* x */ it's */ id, 'a' FROM v1 WHERE 'z'='z'"),
+        ("SELECT /* /* A.b.t */ A.b.t */ 1 FROM A.b.t /* open", "SELECT /* /* A.b.t */ A.b.t */ 1 FROM v1 /* open"),
+        ("SELECT ';';", "SELECT ';'"),
     ],
 )
 def test_bind_names(sql, bound):
@@ -184,3 +187,48 @@ def test_a_query_sees_no_other_runs_inputs(spark):
     run_query(spark, {"A.b.t": spark.range(1)}, "SELECT * FROM A.b.t")
     with pytest.raises(AnalysisException):
         run_query(spark, {}, "SELECT * FROM A.b.t")
+
+
+def test_plain_names_are_names_of_the_query_and_nothing_else(spark):
+    t = {"t": spark.range(3), "id": spark.range(4)}
+    assert run_query(spark, t, "SELECT id AS t FROM t").columns == ["t"]
+    assert run_query(spark, t, "SELECT id FROM id").count() == 4
+    assert run_query(spark, t, "SELECT id FROM id WHERE id > :id", params={"id": 1}).count() == 2
+    assert run_query(spark, t, "WITH t AS (SELECT 9 AS id) SELECT id FROM t").collect()[0].id == 9
+    assert run_query(spark, t, "SELECT /*+ BROADCAST(t) */ t.id FROM t JOIN id ON t.id = id.id;").count() == 3
+    assert run_query(spark, {**t, "A.b.t": spark.range(7)}, "SELECT COUNT(*) AS n FROM A.b.t, t").collect()[0].n == 21
+
+
+@pytest.mark.parametrize(
+    "sql",
+    ["INSERT INTO t SELECT 1", "DROP TABLE t", "SELECT 1) INSERT INTO t (SELECT 2", "SELECT 1; DROP TABLE t", "CREATE TABLE x AS SELECT 1 FROM t"],
+)
+def test_writes_are_refused_with_plain_names(spark, sql):
+    with pytest.raises(ValueError, match="read-only"):
+        run_query(spark, {"t": spark.range(3)}, sql)
+
+
+COMMANDS = [
+    "SELECT TRANSFORM(id) USING 'cat' AS (y) FROM t", "SELECT reflect('java.lang.System', 'currentTimeMillis') AS x FROM t",
+    "SELECT java_method('java.lang.System', 'setProperty', 'a', 'b') AS x", "SELECT try_reflect('java.lang.System', 'nanoTime') AS x FROM t",
+]
+
+
+@pytest.mark.parametrize("command", COMMANDS)
+@pytest.mark.parametrize(
+    "around",
+    ["{}", "WITH c AS ({}) SELECT * FROM c", "SELECT * FROM ({}) x WHERE 1 = 1", "SELECT id FROM t WHERE EXISTS ({})", "SELECT 1 AS a UNION ALL SELECT 2 FROM ({}) y"],
+)
+def test_scripts_and_java_methods_are_refused(spark, command, around):
+    with pytest.raises(ValueError, match="read-only"):
+        run_query(spark, {"t": spark.range(3)}, around.format(command))
+
+
+def test_java_methods_in_a_condition_are_refused(spark):
+    with pytest.raises(ValueError, match="read-only"):
+        run_query(spark, {"t": spark.range(3)}, "SELECT id FROM t WHERE $COND{1}", conditions=["java_method('java.lang.System', 'nanoTime') <> '0'"])
+
+
+def test_text_that_looks_like_a_method_call_is_no_call(spark):
+    sql = "SELECT 'reflect(x)' AS a, `java_method(b)` FROM (SELECT id AS `java_method(b)` FROM t)"
+    assert run_query(spark, {"t": spark.range(3)}, sql).count() == 3

@@ -1,87 +1,76 @@
-"""Window queries over groups that are cut into slices, against the plain windows."""
+"""Window columns over sliced groups, against plain windows."""
 
-import contextlib
-import io
-import re
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from acceptance import windows
-from braid.operators import groups
-from braid.operators.groups import number_slices, split_large_groups
-
-
-@pytest.fixture(scope="module")
-def orders(spark, sf_dir):
-    """A third of all orders from one customer, as many from no customer at all, and prices that repeat."""
-    df = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    third = F.col("o_orderkey") % 3
-    return df.withColumn(
-        "o_custkey", F.when(third == 0, 7).when(third == 1, F.lit(None)).otherwise(F.col("o_custkey"))
-    ).withColumn("o_totalprice", F.floor(F.col("o_totalprice") / 100000).cast("double"))
-
-
-@pytest.fixture(scope="module")
-def events(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/events.parquet")
-    third = F.col("event_id") % 3
-    return (
-        df.withColumn("user_id", F.when(third == 0, 7).when(third == 1, F.lit(None)).otherwise(F.col("user_id")))
-        .withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
-        .withColumn("value", F.when(F.col("event_id") % 5 > 0, F.col("value")))
-    )
-
-
-def same_rows(left, right):
-    assert left.schema.simpleString() == right.schema.simpleString()
-    return left.count() == right.count() and left.exceptAll(right).isEmpty()
-
-
-@pytest.mark.parametrize("limit", [100, 1000])
-def test_rank(spark, orders, limit):
-    assert same_rows(windows.rank_orders(spark, orders, 10**9), windows.rank_orders(spark, orders, limit))
-
-
-@pytest.mark.parametrize("limit", [100, 1000])
-def test_frame(spark, events, limit):
-    assert same_rows(windows.frame_events(spark, events, 10**9), windows.frame_events(spark, events, limit))
-
-
-def test_large_groups_are_shuffled_once_after_the_cut(spark, orders):
-    """By customer and slice, for the window; all else is looked up in broadcast facts."""
-    usual, large, slices = split_large_groups(orders, ["o_custkey"], 1000)
-    with contextlib.redirect_stdout(io.StringIO()) as printed:
-        windows._rank_large(large, slices).explain()
-    tree = printed.getvalue()
-    assert len(re.findall(r"Exchange hashpartitioning", tree)) == 1 and "SortMergeJoin" not in tree
-
-
-def test_slices_are_even_and_in_order(spark, orders):
-    usual, large, slices = split_large_groups(orders, ["o_custkey"], 1000)
-    rows = large.count()
-    assert rows == orders.count() - usual.count() and slices == -(-rows // 1000)
-    assert large.select("o_custkey").distinct().count() == 2
-    sliced = number_slices(large, ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 10)
-    sizes = [row["count"] for row in sliced.groupBy("slice").count().collect()]
-    assert len(sizes) == 10 and sum(sizes) == rows and max(sizes) < 2 * rows / 10
-    keys = sliced.groupBy("o_custkey", "slice").agg(
-        F.min(F.struct(-F.col("o_totalprice"), "o_orderkey")).alias("low"),
-        F.max(F.struct(-F.col("o_totalprice"), "o_orderkey")).alias("high"),
-    )
-    ahead = keys.alias("a").join(keys.alias("b"), F.expr("a.o_custkey <=> b.o_custkey AND a.slice < b.slice AND a.high > b.low"))
-    assert ahead.isEmpty()
-
-
-def test_small_tables_are_not_touched(orders):
-    assert split_large_groups(orders, ["o_custkey"], 10**6) == (orders, None, 0)
-
-
-def test_the_limit_grows_with_the_table(orders, monkeypatch):
-    monkeypatch.setattr(groups, "MOST_SLICES", 10)
-    assert 0 < split_large_groups(orders, ["o_custkey"], 1)[2] <= 10
-
-
-def test_many_small_groups_stay_whole(orders):
-    usual, large, slices = split_large_groups(orders.select("o_orderkey"), ["o_orderkey"], 10)
-    assert (usual.count(), large, slices) == (orders.count(), None, 0)
+from acceptance.windows import FRAME, RANK, frame_events, rank_orders
+from braid import over_groups
+
+PLAIN = """
+    SELECT id, g, a, b,
+      ROW_NUMBER() OVER (PARTITION BY g ORDER BY a DESC, id) AS rn, RANK() OVER (PARTITION BY g ORDER BY a DESC) AS rk,
+      DENSE_RANK() OVER (PARTITION BY g ORDER BY a DESC) AS dr
+    FROM t"""
+W = "PARTITION BY g ORDER BY a, id"
+FRAMED = f"""
+    SELECT id, COUNT(*) OVER ({W} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS n5,
+      MIN(b) OVER ({W} ROWS UNBOUNDED PRECEDING) AS low, SUM(b) OVER ({W} ROWS UNBOUNDED PRECEDING) AS total,
+      COUNT(b) OVER ({W} ROWS UNBOUNDED PRECEDING) AS n, LAG(b) OVER ({W}) AS before, LEAD(b) OVER ({W}) AS after
+    FROM t"""
+
+
+@pytest.fixture(params=["hot", "one group", "one value", "many"])
+def rows(request, spark):
+    """A third of all rows in one group; all in one; all peers; small groups. With nulls everywhere."""
+    rng, n = random.Random(3), 1500
+    some = lambda value: None if rng.random() < 0.1 else value
+    group = {"hot": lambda: rng.choice([1, *range(2, 40)]) if rng.random() > 0.4 else 1, "many": lambda: rng.randrange(700)}.get(request.param, lambda: 1)
+    value = (lambda: 5) if request.param == "one value" else (lambda: some(rng.choice([1, 1, 1, 2, 3, *range(60)])))
+    made = [(i, some(group()) if request.param in ("hot", "many") else 1, value(), some(rng.randrange(100))) for i in range(n)]
+    df = spark.createDataFrame(made, "id bigint, g int, a int, b int").repartition(5)
+    df.createOrReplaceTempView("t")
+    return df
+
+
+def same(found, wanted):
+    assert found.count() == wanted.count()
+    assert wanted.exceptAll(found.select(*wanted.columns)).collect() == []
+
+
+def test_ranks(spark, rows):
+    found = over_groups(over_groups(rows, ["g"], ["a DESC", "id"], row_number="rn"), ["g"], ["a DESC"], rank="rk", dense_rank="dr")
+    same(found, spark.sql(PLAIN))
+
+
+def test_frames(spark, rows):
+    found = over_groups(
+        rows, ["g"], ["a", "id"], last_rows={"n5": 5}, running={"low": ("min", "b"), "total": ("sum", "b"), "n": ("count", "b")},
+        previous={"before": "b"}, following={"after": "b"},
+    )
+    same(found.select("id", "n5", "low", "total", "n", "before", "after"), spark.sql(FRAMED))
+
+
+def test_the_acceptance_queries_use_several_slices(spark, sf_dir):
+    orders, events = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "events"))
+    orders = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 2 == 0, 7).otherwise(F.col("o_custkey")))
+    orders.createOrReplaceTempView("orders")
+    events.createOrReplaceTempView("events")
+    same(rank_orders(orders), spark.sql(RANK.format(orders="orders")))
+    same(frame_events(events), spark.sql(FRAME.format(events="events")))
+
+
+def test_rows_that_the_order_does_not_tell_apart_get_each_number_once(spark):
+    df = spark.createDataFrame([(1, 2)] * 50 + [(1, 3)] * 50, "g int, a int")
+    found = over_groups(df, ["g"], ["a"], row_number="rn").select("a", "rn").collect()
+    assert sorted(row.rn for row in found) == list(range(1, 101))
+    assert all((row.rn <= 50) == (row.a == 2) for row in found)
+
+
+def test_a_large_group_is_many_slices_and_no_rows_are_none(spark):
+    df = spark.range(4000).select(F.lit(1).alias("g"), "id")
+    found = over_groups(df, ["g"], ["id"], row_number="rn")
+    sizes = [row["count"] for row in spark.read.parquet(*{f.rpartition("/")[0] for f in found.inputFiles()}).groupBy("_slice").count().collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 1500
+    assert over_groups(df.limit(0), ["g"], ["id"], row_number="rn", rank="rk").count() == 0

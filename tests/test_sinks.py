@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from braid import read_source, run_job, run_query, write_output, write_outputs
 from braid.operators.sinks import column_types, database_options, lowercase_columns
+from braid.shared import discard
 
 
 def out(path, kind="parquet", **more):
@@ -150,7 +151,15 @@ def test_options_of_one_output_reach_its_file_system(spark):
 
 def test_column_types(spark):
     schema = spark.sql("SELECT 'a' AS s, 1.5D AS d, 1L AS l, 1 AS i").schema
-    assert column_types(schema) == "`s` VARCHAR(200), `d` DECIMAL(38,10), `l` DECIMAL(20,0)"
+    assert column_types(schema, 64) == "`s` VARCHAR(64)"
+
+
+def test_kept_rows_are_as_small_as_the_output(spark, sf_dir, tmp_path):
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    kept = write_outputs(df, [out(tmp_path / "a"), out(tmp_path / "b")])
+    size = lambda files: sum(Path(file.removeprefix("file:").replace("///", "/")).stat().st_size for file in files)
+    assert size(kept.inputFiles()) < 1.2 * size(spark.read.parquet(str(tmp_path / "a")).inputFiles())
+    discard(kept)
 
 
 def test_job_keys(spark, tmp_path):

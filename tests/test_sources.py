@@ -1,6 +1,6 @@
 """Schemas, readers and the options they hand to Spark."""
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -223,39 +223,54 @@ def test_ranges_are_looked_up():
 )
 def test_bounds_are_spelled_as_spark_reads_them(found, bounds):
     spark = Reads(found)
-    jdbc.read_table(spark, db("jdbc:oracle:x", **{"partition-column": "k"}), "oracle")
+    jdbc.read_table(spark, db("jdbc:oracle:x", **{"partition-column": "k", "num-partitions": 4}), "oracle")
     assert (spark.calls[1]["lowerBound"], spark.calls[1]["upperBound"]) == bounds
 
 
 def test_given_ranges_need_no_lookup_and_empty_tables_no_ranges():
     spark = Reads()
-    split = {"partition-column": "k", "lower-bound": 0, "upper-bound": 10}
+    split = {"partition-column": "k", "num-partitions": 4, "lower-bound": 0, "upper-bound": 10}
     jdbc.read_table(spark, db("jdbc:mysql://h", **split), "mysql")
     assert len(spark.calls) == 1 and spark.calls[0]["upperBound"] == "10"
     spark = Reads((None, None))
-    jdbc.read_table(spark, db("jdbc:mysql://h", **{"partition-column": "k"}), "mysql")
+    jdbc.read_table(spark, db("jdbc:mysql://h", **{"partition-column": "k", "num-partitions": 4}), "mysql")
     assert "partitionColumn" not in spark.calls[1]
 
 
+@pytest.mark.parametrize("low, spelled", [(0, "0"), (0.5, "0"), (Decimal("-0.5"), "-1"), (date(2020, 1, 1), "2020-01-01"), ("2020-01-01 00:00:00", "2020-01-01 00:00:00")])
+@pytest.mark.parametrize("found, high", [(900, "900"), (Decimal("900.0000000000"), "900"), (899.5, "900"), (date(2021, 1, 1), "2021-01-01"), (datetime(2021, 1, 1, 5), "2021-01-01 05:00:00")])
+def test_each_bound_is_spelled_alone(low, spelled, found, high):
+    """One bound given, the other looked up, in any mix."""
+    spark = Reads((found, found))
+    split = {"partition-column": "k", "num-partitions": 4}
+    jdbc.read_table(spark, db("jdbc:oracle:x", **split, **{"lower-bound": low}), "oracle")
+    assert (spark.calls[-1]["lowerBound"], spark.calls[-1]["upperBound"]) == (spelled, high)
+
+
 def test_predicates_split_a_read():
     spark = Reads()
     jdbc.read_table(spark, db("jdbc:mysql://h", predicates=["k = 1", "k <> 1 OR k IS NULL"]), "mysql")
     assert spark.calls[0]["predicates"] == ["k = 1", "k <> 1 OR k IS NULL"] and spark.calls[0]["user"] == "u"
 
 
-def test_a_large_table_is_not_read_in_one_task():
-    with pytest.raises(ValueError, match="partition-column"):
-        jdbc.read_table(Reads((jdbc.UNSPLIT_ROWS + 1,)), db("jdbc:mysql://h"), "mysql")
+def test_an_input_says_how_it_is_split():
+    """The rule does not look at the table: an answer of one row or of 10^9 is never asked for."""
     own = {"options": {"partitionColumn": "k", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}}
-    for answer, more in (((jdbc.UNSPLIT_ROWS,), {}), (None, {"num-partitions": 1}), (None, own)):
-        spark = Reads(answer)
-        jdbc.read_table(spark, db("jdbc:mysql://h", **more), "mysql")
-        assert spark.calls[-1]["dbtable"] == "d.t"
+    for rows in (1, 10**9):
+        for more in ({}, {"partition-column": "k"}, {"num-partitions": 8}):
+            spark = Reads((rows,))
+            with pytest.raises(ValueError, match="partition-column"):
+                jdbc.read_table(spark, db("jdbc:mysql://h", **more), "mysql")
+            assert spark.calls == []
+        for more in ({"num-partitions": 1}, {"num-partitions": "1"}, own):
+            spark = Reads((rows,))
+            jdbc.read_table(spark, db("jdbc:mysql://h", **more), "mysql")
+            assert [call["dbtable"] for call in spark.calls] == ["d.t"]
 
 
 @pytest.mark.parametrize("kind", jdbc.DATABASE_TYPES)
 def test_a_database_input_reaches_the_jdbc_source(spark, kind):
-    spec = db("jdbc:none://h", schema="s")
+    spec = db("jdbc:none://h", schema="s", **{"num-partitions": 1})
     spec["config"]["type"] = kind
     with pytest.raises(Exception, match="com.example.Driver"):
         read_source(spark, spec)
