@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from braid.shared import written
+from braid.shared import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,7 +25,9 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("of"), "m")
         small = large.join(least, F.col("u") == F.col("of"))
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select(F.col("of").alias("u"), F.col("m").alias("v")))
-        edges = written(small.filter("u <> v").distinct(), "small_star")
+        done, edges = edges, written(small.filter("u <> v").distinct(), "small_star")
+        discard(done)
+        discard(large)
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -4,10 +4,12 @@
 2. A count-min sketch of all nodes' shingles (``sketch``) tells which shingles another node may have, too. A node with fewer of
    these than a link needs has no links and is done; that leaves near copies and little else.
 3. Any two linked sets share one of their first elements, in an order that all sets follow: the sets' nodes meet there, in
-   blocks. In a block all nodes are first tried against its least node. What that links is one component and needs no more
-   tries among itself; a group of near copies, however large, is mostly done with as many tries as it has nodes.
+   blocks. In a block all nodes are first tried against its most central one, of which the largest share of shingles is found
+   elsewhere. What that links is one component and needs no more tries among itself; a group of near copies, however large, is
+   mostly done with as many tries as it has nodes.
 4. In blocks where several components are left, an R-tree over count vectors (``rtree``) finds all pairs across components whose
-   bound on the overlap suffices. A block too large for one task is cut into a grid of parts, every two of which meet.
+   bound on the overlap suffices, each in the first block that both are in. A block too large for one task is cut into a grid
+   of parts, every two of which meet.
 5. Every pair is verified on the whole sets before it counts. No link between components is lost.
 
 Hashes of shingles have 64 bits. Null text and text without words have no shingles and no links. Texts of fewer than five
@@ -28,7 +30,7 @@ from pyspark.sql import types as T
 from braid.llm import sketch
 from braid.llm.components import components
 from braid.llm.rolling import blocks, window_hashes
-from braid.llm.rtree import Tree, count_vector, needed
+from braid.llm.rtree import Tree, count_vector, counts_of, needed
 from braid.shared import written
 
 SHINGLE = 5
@@ -87,8 +89,8 @@ def _members(rows: DataFrame) -> DataFrame:
 
 
 def _survivors(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """The nodes that may have links: node, n, shingles (sorted, 8 bytes each), counts, and ``first``, the elements under which
-    they meet others."""
+    """The nodes that may have links: node, n, shingles (sorted, 8 bytes each), counts, ``first`` (the elements under which they
+    meet others) and ``alone`` (the share of shingles that no other node has)."""
     bits = sketch.cell_bits(size)
     # Each node's set is looked at in one chunk that has it.
     chosen = members.filter("node IS NOT NULL").groupBy("node").agg(F.min("chunk").alias("chunk"))
@@ -125,16 +127,16 @@ def _survivors(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
                 least = _least_shared(len(shingles))
                 if len(common) >= least:
                     # All sets put what only they have first, then the rest by hash.
-                    out.append((node, len(shingles), shingles, common[: len(common) - least + 1], count_vector(shingles)))
-        node, n, shingles, first, counts = list(zip(*out, strict=True)) or [()] * 5
+                    out.append((node, len(shingles), shingles, common[: len(common) - least + 1], count_vector(shingles), 1 - len(common) / len(shingles)))
+        node, n, shingles, first, counts, alone = list(zip(*out, strict=True)) or [()] * 6
         return pa.table(
             {
                 "node": pa.array(node, pa.binary()), "n": pa.array(n, pa.int64()), "shingles": pa.array([s.tobytes() for s in shingles], pa.binary()),
-                "counts": pa.array([c.tobytes() for c in counts], pa.binary()), "first": pa.array([f.view(np.int64) for f in first], pa.list_(pa.int64())),
+                "counts": pa.array(counts, pa.binary()), "first": pa.array([f.view(np.int64) for f in first], pa.list_(pa.int64())), "alone": pa.array(alone, pa.float64()),
             }
         )
 
-    kind = "node binary, n bigint, shingles binary, counts binary, first array<bigint>"
+    kind = "node binary, n bigint, shingles binary, counts binary, first array<bigint>, alone double"
     return texts.cogroup(given.groupBy("chunk")).applyInArrow(kept, kind)
 
 
@@ -149,7 +151,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             columns = {name: batch.column(name) for name in batch.schema.names}
             keep = []
             for i in range(len(batch)):
-                x, y = (np.frombuffer(columns[f"{s}_counts"][i].as_py(), np.int32) for s in "ab")
+                x, y = (counts_of(columns[f"{s}_counts"][i].as_py()) for s in "ab")
                 least = int(needed(np.array([x.sum()]), np.array([y.sum()]))[0])
                 if np.minimum(x, y).sum() >= least:
                     a, b = (np.frombuffer(columns[f"{s}_set"][i].as_py(), np.uint64) for s in "ab")
@@ -169,23 +171,32 @@ def _across(met: DataFrame, nodes: DataFrame, roots: DataFrame, part_rows: int)
     # Every two parts meet in one task; there is one part unless the block is too large.
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     known = known.select("at", "node", "root", "part", other.alias("other"))
-    known = known.select("at", "node", "root", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
-    known = known.join(nodes.select(F.col("node").alias("of"), "counts"), F.col("node") == F.col("of")).select("at", "x", "y", "node", "root", "counts")
+    known = known.select("at", "node", "root", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
+    known = known.join(nodes.select(F.col("node").alias("of"), "counts", "first"), F.col("node") == F.col("of")).select("at", "x", "y", "node", "root", "part", "counts", "first")
 
     def run(table: pa.Table) -> pa.Table:
         names = table.column("node").to_pylist()
-        points = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32).reshape(len(names), -1)
+        points = np.stack([counts_of(c) for c in table.column("counts").to_pylist()])
         labels = np.unique(table.column("root").to_pylist(), return_inverse=True)[1]
-        found = [(names[i], names[j]) for a, b in Tree(points, labels).pairs() for i, j in zip(a.tolist(), b.tolist(), strict=True)]
-        return pa.table({"a": pa.array([min(p) for p in found], pa.binary()), "b": pa.array([max(p) for p in found], pa.binary())})
+        parts, at = table.column("part").to_numpy(), np.int64(table.column("at")[0].as_py())
+        crossing = table.column("x")[0].as_py() != table.column("y")[0].as_py()
+        # The elements before this block's: a pair that shares one of them has met there.
+        first = [f[: np.searchsorted(f.view(np.uint64), at.view(np.uint64))] for f in (x.values.to_numpy() for x in table.column("first"))]
+        found = []
+        for a, b in Tree(points, labels).pairs():
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                if (not crossing or parts[i] != parts[j]) and not len(np.intersect1d(first[i], first[j], assume_unique=True)):
+                    found.append((names[i], names[j]) if names[i] < names[j] else (names[j], names[i]))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
 
-    return known.groupBy("at", "x", "y").applyInArrow(run, "a binary, b binary").distinct()
+    return known.groupBy("at", "x", "y").applyInArrow(run, "a binary, b binary")
 
 
 def links(nodes: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """node and root of all nodes with links, from ``nodes`` as ``_survivors`` makes them."""
-    met = nodes.select(F.explode("first").alias("at"), "node")
-    hubs = met.groupBy("at").agg(F.min("node").alias("hub"), F.count("*").alias("size")).filter("size > 1").select(F.col("at").alias("block"), "hub")
+    met = nodes.select(F.explode("first").alias("at"), "node", "alone")
+    hubs = met.groupBy("at").agg(F.min(F.struct("alone", "node"))["node"].alias("hub"), F.count("*").alias("size"))
+    hubs = hubs.filter("size > 1").select(F.col("at").alias("block"), "hub")
     shared = written(met.join(hubs, F.col("at") == F.col("block")).select("at", "node", "hub"), "met")
     near = _verified(shared.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), nodes)
     near = written(near, "near")

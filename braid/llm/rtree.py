@@ -11,15 +11,26 @@ from collections.abc import Iterator
 
 import numpy as np
 
-GROUPS = 64
+# Two sets that differ in d elements each may seem to share d * d / GROUPS more than they do.
+GROUPS = 256
 LEAF = 16
 FAN = 8
 # Pairs of nodes or points that are bounded at once.
 STEP = 1 << 14
 
 
-def count_vector(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def count_vector(hashes: np.ndarray) -> bytes:
+    """The counts, in one, two or four bytes each, as the largest needs."""
+    counts = _counts(hashes)
+    return counts.astype(np.min_scalar_type(counts.max(initial=0))).tobytes()
+
+
+def counts_of(vector: bytes) -> np.ndarray:
+    return np.frombuffer(vector, f"<u{len(vector) // GROUPS}").astype(np.int32)
+
+
+def _counts(hashes: np.ndarray) -> np.ndarray:
+    return np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
 
 
 def needed(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
