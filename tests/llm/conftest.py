@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from brute import frame
 
 import __spark_entry__ as contract
 
@@ -11,15 +12,6 @@ def prepared(spark):
     contract._prepare(spark)
 
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, row int, chunk string, kept string, n string"
-
-
-def frame(spark, rows):
-    """Documents from (doc_id, text, lang, source), with more columns whose names the operators use themselves."""
-    full = [(i, t, lang, src, None if t is None else len(t), "x", 7, "y", "z", None) for i, t, lang, src in rows]
-    return spark.createDataFrame(full, SCHEMA).repartition(3)
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls, empty and blank texts, one very long text, odd spaces, repeated rows, near copies, ties."""

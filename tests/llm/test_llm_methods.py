@@ -1,0 +1,341 @@
+"""The methods inside the operators, one by one."""
+
+import base64
+import math
+import random
+
+import brute
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
+from brute import SCHEMA
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from braid.llm import bpe, jaccard, langid, packing, pieces, pii, quality, secret_scan, sketch, token_counts, word_tokens
+from braid.llm.components import components
+from braid.llm.rolling import blocks, window_hashes
+from braid.llm.rtree import GROUPS, Tree, count_vector, counts_of, needed
+
+ODD = st.lists(st.text(st.sampled_from("ab \t\n\x0b\x85é日'strevl1.,\x00"), max_size=40), max_size=8)
+
+
+@given(ODD)
+@settings(max_examples=200, deadline=None)
+def test_words_and_windows(texts):
+    found, hashes = [], {}
+    for block in blocks(pa.array(texts)):
+        words = [block.data[a:b].tobytes().decode() for a, b in zip(block.starts, block.ends, strict=True)]
+        found += [words[a:b] for a, b in zip(block.word_at[:-1], block.word_at[1:], strict=True)]
+        at, _ = block.windows(2)
+        for i, h in zip(at, window_hashes(block.word_hashes(), at, 2), strict=True):
+            assert hashes.setdefault((words[i], words[i + 1]), h) == h
+    assert found == [brute.words(t) for t in texts]
+    assert len(set(hashes.values())) == len(hashes)
+
+
+@given(ODD)
+@settings(max_examples=100, deadline=None)
+def test_shingle_sets(texts):
+    sets = jaccard.shingle_sets(pa.array(texts, pa.string()))
+    wanted = []
+    for t in texts:
+        w = brute.words(brute.fold(t))
+        wanted.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    assert list(map(len, sets)) == list(map(len, wanted))
+    for a in range(len(texts)):
+        for b in range(a):
+            assert len(np.intersect1d(sets[a], sets[b])) == len(wanted[a] & wanted[b])
+
+
+def split_by_hand(text):
+    library = __import__("tokenizers").pre_tokenizers.ByteLevel(add_prefix_space=False)
+    return [b - a for _, (a, b) in library.pre_tokenize_str(text)] if text else []
+
+
+@given(ODD)
+@settings(max_examples=300, deadline=None)
+def test_pieces(texts):
+    data, starts, counts = pieces.split_texts(texts)
+    found, k = [], 0
+    for n in counts:
+        found.append([len(data[starts[i] : starts[i + 1]].decode()) for i in range(k, k + n)])
+        k += n + 1
+    assert found == [split_by_hand(t) for t in texts]
+
+
+def test_chunk_maps_compose(monkeypatch):
+    """However the stream is cut, the starts are the same."""
+    rng = np.random.default_rng(2)
+    stream = rng.choice(12, 5000).astype(np.uint8)
+    wanted = None
+    for size in (1, 2, 7, 256, 4999, 6000):
+        monkeypatch.setattr(pieces, "CHUNK", size)
+        found = pieces.piece_starts(stream)
+        wanted = found if wanted is None else wanted
+        assert (found == wanted).all()
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def merged_by_hand(encoder, piece):
+    tokens = [piece[i : i + 1] for i in range(len(piece))]
+    while pairs := [(encoder.ranks[a + b], i) for i, (a, b) in enumerate(zip(tokens, tokens[1:], strict=False)) if a + b in encoder.ranks]:
+        _, i = min(pairs)
+        tokens[i : i + 2] = [tokens[i] + tokens[i + 1]]
+    return [encoder.ranks[t] for t in tokens]
+
+
+def test_matrices_and_heap_merge_alike(encoder):
+    rng = random.Random(4)
+    made = [bytes(rng.choice(b"aeinrst \xc3\xa9\x00") for _ in range(rng.choice([1, 2, 3, 5, 9, 17, 33, 65, 200, 256]))) for _ in range(150)]
+    found = encoder.encode_pieces(made)
+    for piece, ids in zip(made, found, strict=True):
+        wanted = [encoder.ranks[piece]] if piece in encoder.ranks else merged_by_hand(encoder, piece)
+        assert ids.tolist() == wanted
+        if piece not in encoder.ranks:
+            assert encoder._by_heap(piece).tolist() == wanted
+
+
+def test_stores_start_anew_when_full(encoder, monkeypatch):
+    texts = [f"word{i} and x{i * 7}" for i in range(300)]
+    wanted = [encoder.encode([t])[0].tolist() for t in texts]
+    monkeypatch.setattr(bpe, "MOST_UNITS", 20)
+    assert [x.tolist() for k in range(0, 300, 10) for x in encoder.encode(texts[k : k + 10])] == wanted
+    monkeypatch.setattr(token_counts, "MOST_PIECES", 20)
+    counter = token_counts.Transducer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert [int(n) for k in range(0, 300, 10) for n in counter.count(texts[k : k + 10])] == list(map(len, wanted))
+
+
+def test_unknown_ids_and_other_files_are_errors(encoder):
+    with pytest.raises(ValueError, match="id"):
+        encoder.decode(np.array([60_000], np.int32))
+    with pytest.raises(ValueError, match="compiled"):
+        token_counts.Transducer(public_tokenizers.path("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="one by one"):
+        word_tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_word_tokens(monkeypatch):
+    monkeypatch.setattr(word_tokens, "MOST_WORDS", 50)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = __import__("tokenizers").Tokenizer.from_file(path), word_tokens.TextEncoder(path)
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(list("aB é'sÉ1日.!\t\n\x0b\x85\x1c ") + ["ß", "Σ", "é", "<|endoftext|>", "  "]) for _ in range(30)) for _ in range(400)]
+    assert [x.tolist() for k in range(0, 400, 20) for x in own.encode(texts[k : k + 20])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_the_sketch_loses_nothing():
+    """Hashes that two chunks have, or one has twice, are all found; few others are."""
+    rng = np.random.default_rng(1)
+    shared = rng.integers(0, 1 << 64, 500, np.uint64)
+    chunks = {c: np.concatenate([rng.integers(0, 1 << 64, 20_000, np.uint64), shared[c * 100 : c * 100 + 200]]) for c in range(4)}
+    chunks[3] = np.append(chunks[3], chunks[3][:50])
+    bits = sketch.BLOCK_BITS + 1
+    sent = pa.concat_tables([sketch.messages(sketch.partial_sketch(c, h, bits)) for c, h in chunks.items()])
+    answers = pa.concat_tables([sketch.merge_sketches(sent.filter(pc.equal(sent["block"], b))) for b in set(sent["block"].to_pylist())])
+    whole = np.concatenate(list(chunks.values()))
+    for c, hashes in chunks.items():
+        maybe = sketch.estimated_repeated(hashes, answers.filter(pc.equal(answers["chunk"], c)), bits)
+        repeated = np.isin(hashes, [h for h, n in zip(*np.unique(whole, return_counts=True), strict=True) if n > 1])
+        assert maybe[repeated].all() and maybe[~repeated].mean() < 0.01
+
+
+def test_exact_answers():
+    keys = {c: np.array(sorted({(h * 0x9E3779B97F4A7C15 % 2**64, c2) for h in range(c, 300, 2 + c) for c2 in (0, c)}), np.uint64) for c in range(3)}
+    sent = pa.concat_tables([sketch.messages(sketch.exact_messages(c, k, 7)) for c, k in keys.items()])
+    answers = pa.concat_tables([sketch.merge_exact(sent.filter(pc.equal(sent["block"], b))) for b in set(sent["block"].to_pylist())])
+    for c, own in keys.items():
+        others = {tuple(x) for d, k in keys.items() if d != c for x in k.tolist()}
+        found = sketch.exact_repeated(answers.filter(pc.equal(answers["chunk"], c)))
+        assert found.tolist() == [tuple(x) in others for x in own.tolist()]
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 16, 17, 130, 700])
+def test_the_tree_finds_all_pairs_within_its_bound(n):
+    rng = np.random.default_rng(n)
+    bases = [rng.integers(0, 1 << 64, 60, np.uint64) for _ in range(5)]
+    sets = []
+    for i in range(n):
+        s = bases[i % 5].copy()
+        s[: rng.integers(0, 14)] = rng.integers(0, 1 << 64, 1, np.uint64)[0] + np.arange(1, dtype=np.uint64)
+        sets.append(np.unique(s[: rng.integers(40, 60)]))
+    points = np.stack([counts_of(count_vector(s)) for s in sets])
+    assert points.shape == (n, GROUPS)
+    labels = rng.integers(0, max(1, n // 3), n)
+    found = [tuple(sorted(p)) for a, b in Tree(points, labels).pairs() for p in zip(a.tolist(), b.tolist(), strict=True)]
+    assert len(found) == len(set(found))
+    size = points.sum(axis=1)
+    for a in range(n):
+        for b in range(a + 1, n):
+            shared = len(np.intersect1d(sets[a], sets[b]))
+            if labels[a] != labels[b] and shared >= needed(size[a : a + 1], size[b : b + 1])[0]:
+                assert (a, b) in found
+    for a, b in found:
+        assert labels[a] != labels[b]
+
+
+def test_components(spark):
+    rng = random.Random(9)
+    links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    root = {x: x for pair in links for x in pair}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    found = components(spark.createDataFrame(links, "a bigint, b bigint"))
+    alone = {x for x in root if all(a == b for a, b in links if x in (a, b))}
+    assert {r.node: r.root for r in found.collect()} == {x: find(x) for x in root if x not in alone}
+    assert found.count() == len(root) - len(alone)
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_near_copies_whose_centre_is_not_the_least_node(spark):
+    """A star: each copy is near the base alone, not the other copies; and a chain of near texts."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 25):
+        words = list(base)
+        for k in rng.sample(range(5, 145), 3):
+            words[k] = f"new{i}x{k}"
+        rows.append((i, " ".join(words)))
+    chain = [f"c{k}" for k in range(130)]
+    rows += [(50 + i, " ".join(chain[i * 5 : i * 5 + 80])) for i in range(10)]
+    full = [(i, t, "en", "s", 0, "", 0, "", "", "") for i, t in rows]
+    df = spark.createDataFrame(full, SCHEMA)
+    for part_rows in (2, 2000):
+        found = jaccard.near_duplicates(df, part_rows=part_rows).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(brute.jaccard(rows))
+    left = jaccard.without_near_duplicates(df)
+    assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c in brute.jaccard(rows)}) and left.columns == df.columns
+
+
+def test_windows_are_filled_in_proportion():
+    rng = random.Random(6)
+    sizes = [[rng.randrange(1, 900) for _ in range(200)] for _ in range(4)]
+    shares, length, quantum = np.array([0.5, 0.3, 0.15, 0.05]), 1000, 50
+    given, seen = np.zeros(4), [[0] * 200 for _ in range(4)]
+    windows = list(packing.fill_windows(sizes, shares, np.array([0.0, 10.0, -10.0, 0.0]), length, quantum))
+    full = True
+    for number, window in enumerate(windows):
+        assert sum(p[3] for p in window) == length or number == len(windows) - 1
+        for source, document, start, tokens in window:
+            assert seen[source][document] == start
+            seen[source][document] += tokens
+            given[source] += tokens
+        full &= all(given[s] < sum(sizes[s]) for s in range(4))
+        if full:
+            # A source strays by what it was owed and by what is served at a time.
+            assert np.abs(given - shares * length * (number + 1)).max() <= 900
+    assert seen == sizes
+
+
+def test_deficits_carry_over_shards(spark):
+    """The share that a shard starts with makes up for what all shards before it had."""
+    counts = spark.createDataFrame([(0, "a", 700), (0, "b", 300), (2, "a", 100), (2, None, 50), (3, "a", 500), (3, "b", 350)], "shard bigint, source string, n bigint")
+    found = {(r.at, r.name): (r.share, r.deficit) for r in packing._credits(counts, None).collect()}
+    assert found[0, "a"] == (0.65, 0) and found[3, "b"][1] == pytest.approx(0.325 * 1150 - 300) and found[2, None][1] == pytest.approx(0.025 * 1000)
+    found = {(r.at, r.name): (r.share, r.deficit) for r in packing._credits(counts, {"a": 1.0, None: 3.0}).collect()}
+    assert found[3, "a"] == (0.25, pytest.approx(0.25 * 1150 - 800)) and found[3, "b"][0] == 0 and found[2, None][0] == 0.75
+
+
+def test_fences_follow_language_and_source(spark):
+    rng = random.Random(8)
+    text = lambda n, mark: " ".join(f"{''.join(rng.choice('abcdefgh') for _ in range(rng.randrange(3, 8)))}{mark if rng.random() < 0.9 else ''}" for _ in range(n))
+    rows = [(i, text(60, ""), "en", "prose") for i in range(80)] + [(100 + i, text(60, "#"), "en", "notes") for i in range(80)]
+    rows += [(500, text(60, "#"), "en", "prose"), (501, text(60, ""), "en", "notes"), (502, text(60, "##"), None, None)]
+    df = spark.createDataFrame([(*r, 0, "", 0, "", "", "") for r in rows], SCHEMA)
+    dropped = {r.doc_id for r in quality.quality(df).filter("NOT kept").collect()}
+    # What is usual among the notes is not among the prose; a group of one has no other to differ from.
+    assert 500 in dropped and not dropped & {501, 502, *range(80), *range(100, 180)}
+
+
+def test_the_model_is_a_distribution(spark):
+    texts = [("xx", "abab abba baab abc"), ("xx", "cab bac"), ("yy", "zyx yxz"), ("yy", "zzz y")]
+    counts: dict = {}
+    for r in langid.counted(spark.createDataFrame(texts, "lang string, text string")).collect():
+        counts.setdefault(r.lang, {})[r.gram] = r.n
+    assert counts["xx"]["abab"] == 1 and counts["xx"][" a"] == 1 and "bab" not in counts["xx"]
+    model = langid.kneser_ney(counts)
+    for k, letters in enumerate(("abc ", "xyz ")):
+        for context in (" ab", "bab", "cab", "zyx", " zz"):
+            if not any(g.startswith(context) for g in counts[model.languages[k]]):
+                continue
+            probabilities = []
+            for letter in "abcxyz ":
+                points = np.array([ord(c) for c in context + letter], np.uint32)
+                probabilities.append(math.exp(score(model, points, k)))
+            assert 0.99 < sum(probabilities) + math.exp(model.floor) < 1.25
+    assert all(len(h) == len(set(h.tolist())) and (np.diff(h.astype(object)) > 0).all() for h, _ in model.grams)
+    found, scores = model.predict(["abba cab", "zyx", "", "123 !", None or "", "ABAB"])
+    assert found == ["xx", "yy", "und", "und", "und", "xx"] and scores[2] == 0 and (scores <= 1).all()
+
+
+def score(model, points, k):
+    """The last character's log probability, by walking the tables one by one."""
+    total = 0.0
+    for order, (hashes, values), (contexts, backs) in zip(range(langid.ORDER, 0, -1), model.grams, model.back, strict=True):
+        which, hit = langid._find(hashes, langid.gram_hashes(points[-order:], order)[-1:])
+        if hit[0]:
+            return total + float(values[which[0], k])
+        if order > 1:
+            which, hit = langid._find(contexts, langid.gram_hashes(points[-order:-1], order - 1)[-1:])
+            total += float(backs[which[0], k]) if hit[0] else 0.0
+    return total + model.floor
+
+
+def documents(spark, texts, owners=None):
+    rows = [(i, t, f"repo{i % 5}", (owners or {}).get(i, f"owner{i}"), 0, "", 0, "", "", "") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_terms_that_reveal_a_value_are_spans(spark):
+    rng = random.Random(5)
+    noise = lambda: " ".join(rng.choice(["the", "of", "report", "spoke", "about", "today", "again", "with"]) for _ in range(12))
+    texts = [f"{noise()} quartermaster {i} zed{i} ann@x.org {noise()}" for i in range(6)] + [f"{noise()} bob{i}@y.org {noise()}" for i in range(40)]
+    texts += [texts[0]] * 5 + [f"{noise()} copied term clark@z.org end of it"] * 20
+    df = documents(spark, texts)
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == 4] for r in pii.personal_data(df, least_share=0.4, least_bits=1).collect()}
+    assert all(found[i] == ["quartermaster"] for i in range(6))
+    # A copied document is one context, however often it is copied.
+    assert not any(found[i] for i in (*range(6, 46), *range(51, 71)))
+    clean = {r.doc_id: r.text for r in pii.sanitised(df, least_share=0.4, least_bits=1).collect()}
+    assert "quartermaster" not in clean[0] and "<EMAIL>" in clean[0] and "ann@x.org" not in clean[0] and clean[0].startswith(texts[0].split(" quarter")[0])
+    assert pii.sanitised(df).columns == df.columns
+
+
+def test_patterns_on_long_runs():
+    for text in ("1" * 50_000, "a" * 50_000 + "@", "a.b" * 20_000 + "@x", "1." * 30_000, "+1" + " " * 50_000, "0" * 3000 + ".1.1.1", "x@y.z" * 2000):
+        assert pii.find(text) == [(a, k, b) for a, k, b, _ in brute.spans(text, brute.PII)] if len(text) < 9000 else pii.find(text) is not None
+
+
+@given(st.text(st.sampled_from("a1.@-+ ()%x9\n"), max_size=40))
+@settings(max_examples=500, deadline=None)
+def test_patterns(text):
+    assert pii.find(text) == [(a, k, b) for a, k, b, _ in brute.spans(text, brute.PII)]
+
+
+def test_owners_tell_examples_from_live_secrets(spark):
+    live, copied, opaque, common = "s3cretA1value", "exampleKey123", "Zx9_kQ" * 5, "Example-0123456789-abcdef"
+    texts = [f"password = {live}", f"see token: '{live}' é", *[f"api_key={copied} in {i}" for i in range(6)], f"id {opaque} here", *[f"{common} {i}" for i in range(4)], "nothing"]
+    df = documents(spark, texts, {0: "ann", 1: "ann"})
+    found = {r.doc_id: r.spans for r in secret_scan.secrets(df, repo_col="lang").collect()}
+    assert [s.live for s in found[0]] == [True] and (found[0][0].owners, found[0][0].repos) == (1, 2)
+    assert [s.live for s in found[2]] == [False] and found[2][0].owners == 6
+    assert [(s.kind, s.live) for s in found[8]] == [("opaque", True)] and found[9] == [] and found[13] == []
+    clean = {r.doc_id: r for r in secret_scan.without_secrets(df.withColumn("n_chars", F.length("text").cast("bigint")), length_col="n_chars").collect()}
+    assert clean[0].text == "[SECRET]" and clean[1].text == "see [SECRET]' é" and clean[8].text == "id [SECRET] here"
+    assert all(clean[i].text == texts[i] for i in (*range(2, 8), *range(9, 14)))
+    assert all(r.n_chars == len(r.text) for r in clean.values()) and len(clean) == len(texts)
