@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,6 +30,8 @@ SLICE = 256
 _NONE = np.int32(np.iinfo(np.int32).max)
 # White space of the pattern.
 _WHITE = frozenset([*map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])])
+# White space but for blank and line feed.
+_RARE = re.compile(f"[{''.join(_WHITE - {' ', chr(10)})}]")
 
 
 class PairTable:
@@ -89,27 +92,29 @@ class Encoder:
         self.number: dict[str, int] = {}
         self.flat, self.edges = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        by_width: dict[int, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            rank = self.ranks.get(piece)
-            if rank is not None:
-                out[i] = np.array([rank], np.int32)
-            elif len(piece) > WIDTHS[-1]:
-                out[i] = self._by_heap(piece)
-            else:
-                by_width.setdefault(next(w for w in WIDTHS if len(piece) <= w), []).append(i)
-        for width, rows in by_width.items():
-            data = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(len(rows), width)
-            sizes = np.array([len(pieces[i]) for i in rows])
-            tokens = np.where(np.arange(width) < sizes[:, None], self.of_byte[data], np.int32(-1))
-            for i, ids in zip(rows, self._merged(tokens), strict=True):
-                out[i] = ids
-        return out
-
-    def _merged(self, tokens: np.ndarray) -> list[np.ndarray]:
-        out: list[np.ndarray] = [None] * len(tokens)
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in one array, in the order of the pieces, and how many each has."""
+        whole = np.fromiter((self.ranks.get(piece, -1) for piece in pieces), np.int64, len(pieces))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        # Numbers of pieces, how many ids each has, and the ids, as they come.
+        parts = [(np.flatnonzero(whole >= 0), np.ones(int((whole >= 0).sum()), np.int64), whole[whole >= 0])]
+        todo = whole < 0
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            rows = np.flatnonzero(todo & (lengths > low) & (lengths <= width))
+            if len(rows):
+                data = np.frombuffer(b"".join([pieces[i].ljust(width, b"\0") for i in rows.tolist()]), np.uint8).reshape(len(rows), width)
+                tokens = np.where(np.arange(width) < lengths[rows, None], self.of_byte[data], np.int32(-1))
+                parts += [(rows[done], n, ids) for done, n, ids in self._merged(tokens)]
+        for i in np.flatnonzero(todo & (lengths > WIDTHS[-1])).tolist():
+            ids = self._by_heap(pieces[i])
+            parts.append((np.array([i]), np.array([len(ids)]), ids))
+        number, sizes, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(number)
+        starts = np.cumsum(sizes) - sizes
+        return _gathered(flat, starts[order], sizes[order]).astype(np.int32), sizes[order]
+
+    def _merged(self, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Row numbers, numbers of ids, and ids, of rows as they are done."""
         rows = np.arange(len(tokens))
         ranks = self.pairs.look_up(tokens[:, :-1], tokens[:, 1:])
         columns = np.arange(tokens.shape[1])
@@ -118,11 +123,11 @@ class Encoder:
             best = ranks[np.arange(len(rows)), at]
             done = best == _NONE
             if done.any():
-                for row, ids in zip(rows[done], tokens[done], strict=True):
-                    out[row] = ids[ids >= 0].copy()
+                left = tokens[done]
+                yield rows[done], (left >= 0).sum(axis=1), left[left >= 0]
                 rows, tokens, ranks, at, best = rows[~done], tokens[~done], ranks[~done], at[~done], best[~done]
                 if not len(rows):
-                    break
+                    return
             # The pair becomes one token and what follows moves up; only the ranks on both sides of it are new.
             k = np.arange(len(rows))
             moved = np.minimum(columns + (columns > at[:, None]), len(columns) - 1)
@@ -136,7 +141,6 @@ class Encoder:
             ranks[k[inside], at[inside]] = self.pairs.look_up(tokens[k, at], after)[inside]
             some = at > 0
             ranks[k[some], at[some] - 1] = self.pairs.look_up(tokens[k[some], at[some] - 1], tokens[k[some], at[some]])
-        return out
 
     def _by_heap(self, piece: bytes) -> np.ndarray:
         tokens = [piece[i : i + 1] for i in range(len(piece))]
@@ -164,42 +168,45 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [units(text) for text in texts]
-        new = {unit for found in split for unit in found if unit not in self.number}
+        all_units = set().union(*split)
+        new = all_units.difference(self.number)
         if self.number and len(self.number) + len(new) > MOST_UNITS:
             self.forget()
-            new = {unit for found in split for unit in found}
+            new = all_units
         if new:
             self._learn(list(new))
         out = []
         for found in split:
             which = np.fromiter(map(self.number.__getitem__, found), np.int64, len(found))
-            first, length = self.edges[which], self.edges[which + 1] - self.edges[which]
-            ends = np.cumsum(length)
-            out.append(self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - length), length)])
+            first = self.edges[which]
+            out.append(_gathered(self.flat, first, self.edges[which + 1] - first))
         return out
 
     def _learn(self, new: list[str]) -> None:
         # Units that follow a blank are kept without it and get it here.
         data, starts, counts = split_texts([unit[1:] if unit[:1] == " " else f" {unit}" for unit in new])
-        ends = np.cumsum(counts + 1)
         real = np.ones(len(starts) - 1, bool)
-        real[ends - 1] = False
+        real[np.cumsum(counts + 1) - 1] = False
         pieces = [data[a:b] for a, b in zip(starts[:-1][real].tolist(), starts[1:][real].tolist(), strict=True)]
         distinct = {piece: k for k, piece in enumerate(dict.fromkeys(pieces))}
-        ids = self.encode_pieces(list(distinct))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        ids, sizes = self.encode_pieces(list(distinct))
         which = np.fromiter(map(distinct.__getitem__, pieces), np.int64, len(pieces))
-        per_unit = np.concatenate([[0], np.cumsum(sizes[which])])[np.concatenate([[0], np.cumsum(counts)])]
+        per_unit = np.concatenate([[0], np.cumsum(sizes[which])])[np.cumsum(counts)]
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-        self.edges = np.concatenate([self.edges, len(self.flat) + per_unit[1:]])
-        self.flat = np.concatenate([self.flat, *[ids[k] for k in which.tolist()]])
+        self.edges = np.concatenate([self.edges, len(self.flat) + per_unit])
+        self.flat = np.concatenate([self.flat, _gathered(ids, (np.cumsum(sizes) - sizes)[which], sizes[which])])
 
     def decode(self, ids: np.ndarray) -> bytes:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.token_at) - 1):
             raise ValueError("an id is not in the file of ranks")
-        length = self.token_at[ids + 1] - self.token_at[ids]
-        ends = np.cumsum(length)
-        return self.token_bytes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.token_at[ids] - (ends - length), length)].tobytes()
+        first = self.token_at[ids]
+        return _gathered(self.token_bytes, first, self.token_at[ids + 1] - first).tobytes()
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` from each start, one after another."""
+    ends = np.cumsum(lengths)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
 
 
 def units(text: str) -> list[str]:
@@ -208,7 +215,7 @@ def units(text: str) -> list[str]:
     if not text:
         return []
     out = text.split(" ")
-    if "" in out or any(unit[0] in _WHITE or unit[-1] in _WHITE for unit in out):
+    if "" in out or " \n" in text or "\n " in text or _RARE.search(text):
         joined = [out[0]]
         for unit in out[1:]:
             last = joined[-1]

@@ -34,10 +34,11 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens added."""
         split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        new = {word for words in split for word in words if word not in self.number}
+        all_words = set().union(*split)
+        new = all_words.difference(self.number)
         if self.number and len(self.number) + len(new) > MOST_WORDS:
             self.clear()
-            new = {word for words in split for word in words}
+            new = all_words
         if new:
             self._learn(list(new))
         out = []
