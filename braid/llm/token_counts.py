@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from braid.llm.pieces import split_texts
 
-# Bounds of a worker's memory: compiled transitions, and pieces whose counts are kept. Beyond them both start anew.
-MOST_TRANSITIONS = 400_000
-MOST_PIECES = 500_000
+# Bounds of a worker's memory: compiled transitions, and pieces whose counts are kept. Beyond its bound each starts anew.
+MOST_TRANSITIONS = 250_000
+MOST_PIECES = 400_000
 BLOCK_CHARS = 1 << 19
 
 
@@ -63,7 +63,7 @@ class Transducer:
                     self.token_at.append(-1)
                 node = self.children[node][byte]
             self.token_at[node] = self.tokens[token]
-        self._fits: dict[tuple[int, int], bool] = {}
+        self.counts: dict[bytes, int] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -72,7 +72,7 @@ class Transducer:
         self.states: list[tuple] = [start]
         # State and byte in one number, to next state and tokens added.
         self.next: dict[int, tuple[int, int]] = {}
-        self.counts: dict[bytes, int] = {}
+        self._fits: dict[tuple[int, int], bool] = {}
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two tokens side by side encode to themselves: no merge across the border comes before those that make
@@ -136,8 +136,10 @@ class Transducer:
             owner += [i] * len(found)
         data, starts, per_part = split_texts(parts)
         pieces = [data[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-        if len(self.counts) > MOST_PIECES or len(self.next) > MOST_TRANSITIONS:
+        if len(self.next) > MOST_TRANSITIONS:
             self.forget()
+        if len(self.counts) > MOST_PIECES:
+            self.counts = {}
         known = self.counts
         for piece in set(pieces).difference(known):
             known[piece] = self.count_piece(piece)

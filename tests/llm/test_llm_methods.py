@@ -110,6 +110,7 @@ def test_stores_start_anew_when_full(encoder, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_UNITS", 20)
     assert [x.tolist() for k in range(0, 300, 10) for x in encoder.encode(texts[k : k + 10])] == wanted
     monkeypatch.setattr(token_counts, "MOST_PIECES", 20)
+    monkeypatch.setattr(token_counts, "MOST_TRANSITIONS", 50)
     counter = token_counts.Transducer(public_tokenizers.path("byte_bpe_50k.json"))
     assert [int(n) for k in range(0, 300, 10) for n in counter.count(texts[k : k + 10])] == list(map(len, wanted))
 
