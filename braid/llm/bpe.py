@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from braid.llm.pieces import split_texts
+from braid.llm.rolling import slices
 
 MOST_UNITS = 700_000
 WIDTHS = (2, 4, 8, 12, 16, 24, 32, 64, 128, 256)
-# Texts per batch of results: token lists are several times as large as their texts.
+# Rows that are decoded at a time.
 SLICE = 256
 _NONE = np.int32(np.iinfo(np.int32).max)
 # White space of the pattern.
@@ -239,11 +240,10 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, len(batch), SLICE):
-                part = batch.slice(low, SLICE)
+            for part in slices(batch, "text"):
                 ids = encoder(path).encode(part.column("text").fill_null("").to_pylist())
                 at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids).astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists], names=["id", "ids"])
 
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)

@@ -31,7 +31,7 @@ from braid.llm import sketch
 from braid.llm.components import components
 from braid.llm.rolling import blocks, window_hashes
 from braid.llm.rtree import Tree, count_vector, counts_of, needed
-from braid.shared import written
+from braid.shared import discard, written
 
 SHINGLE = 5
 # Nodes of a block that one task compares with as many others.
@@ -202,7 +202,10 @@ def links(nodes: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     near = written(near, "near")
     roots = components(near).select(F.col("node").alias("of"), "root")
     rest = written(_verified(_across(shared.select("at", "node"), nodes, roots, part_rows), nodes), "across")
-    return components(near.unionAll(rest))
+    found = components(near.unionAll(rest))
+    for done in (shared, near, rest):
+        discard(done)
+    return found
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -211,6 +214,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
     members = written(_members(rows), "members")
     nodes = written(_survivors(rows, members, size), "survivors")
     roots = links(nodes, part_rows).select(F.col("node").alias("of"), "root")
+    discard(nodes)
     return rows, members.join(roots, members["node"] == roots["of"], "left").select("id", "chunk", "n", "node", F.coalesce("root", "node").alias("root"))
 
 

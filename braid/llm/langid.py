@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from braid.llm.rolling import mix
+from braid.llm.rolling import mix, slices
 
 ORDER = 4
 FIT_ROWS = 1_500
@@ -32,7 +32,6 @@ FIT_ROWS = 1_500
 CALIBRATE_SHARE = 0.2
 REJECT = 0.5
 UNKNOWN = "und"
-BLOCK_CHARS = 1 << 19
 
 
 def _tables() -> np.ndarray:
@@ -139,7 +138,7 @@ def counted(rows: DataFrame) -> DataFrame:
     ``rows``: lang, text. ``gram`` is the characters as text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, "text")):
             langs = batch.column(0).to_pylist()
             texts = batch.column(1).fill_null("").to_pylist()
             for lang in sorted(set(langs)):
@@ -238,7 +237,7 @@ def _calibrated(model: Model, rows: DataFrame) -> float:
     candidates = [2.0**k for k in range(-4, 8)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, "text")):
             langs = batch.column(0).to_pylist()
             entropy, letters = model.entropies(batch.column(1).fill_null("").to_pylist())
             right = np.array([model.languages[b] == lang for b, lang in zip(entropy.argmin(axis=1), langs, strict=True)])
@@ -258,19 +257,10 @@ def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").fill_null("").to_pylist()
-            langs, scores, part, size = [], [], [], 0
-            for i, text in enumerate(texts):
-                part.append(text)
-                size += len(text)
-                if size >= BLOCK_CHARS or i == len(texts) - 1:
-                    found, score = shared.value.predict(part)
-                    langs += found
-                    scores.append(score)
-                    part, size = [], 0
-            score = np.concatenate(scores) if scores else np.zeros(0)
-            rejected = (score < reject) | np.array([x == UNKNOWN for x in langs], bool)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], names=["id", "lang_pred", "score", "rejected"])
+            for part in slices(batch, "text"):
+                langs, score = shared.value.predict(part.column("text").fill_null("").to_pylist())
+                rejected = (score < reject) | np.array([x == UNKNOWN for x in langs], bool)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], names=["id", "lang_pred", "score", "rejected"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double, rejected boolean").withColumnRenamed("id", id_col)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braid.llm.rolling import slices
 from braid.llm.word_tokens import TextEncoder
 
 LENGTH = 2048
@@ -48,9 +49,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int, shards: int, id_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            for low in range(0, len(texts), 256):
-                part = batch.slice(low, 256)
+            for part in slices(batch, "text"):
                 ids = [np.append(x, end_id).astype("<u4") for x in _encoder(path).encode(part.column("text").fill_null("").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("source"), part.column("shard"), pa.array([len(x) for x in ids], pa.int64()), pa.array([_narrow(x) for x in ids], pa.binary())],

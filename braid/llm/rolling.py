@@ -100,12 +100,27 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), at
 
 
+def row_ranges(at: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Consecutive rows of up to ``limit`` bytes, or one longer row, by the offsets of the texts."""
+    low = 0
+    while low < len(at) - 1:
+        high = max(int(np.searchsorted(at, at[low] + limit, "right")) - 1, low + 1)
+        yield low, high
+        low = high
+
+
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with a bounded amount of text in ``column`` each; at least one."""
+    if not len(batch):
+        yield batch
+    for low, high in row_ranges(buffers(batch.column(column))[1]):
+        yield batch.slice(low, high - low)
+
+
 def blocks(column: pa.Array | pa.ChunkedArray, between: np.ndarray = IS_SPACE) -> Iterator[Block]:
     """The texts of a column, block by block. ``between`` says of each byte value whether it stands between words."""
     data, at = buffers(column)
-    low = 0
-    while low < len(at) - 1:
-        high = max(int(np.searchsorted(at, at[low] + BLOCK_BYTES, "right")) - 1, low + 1)
+    for low, high in row_ranges(at):
         text_at = at[low : high + 1] - at[low]
         part = data[at[low] : at[high]]
         word = ~between[part]
@@ -121,4 +136,3 @@ def blocks(column: pa.Array | pa.ChunkedArray, between: np.ndarray = IS_SPACE) -
         after[:-1] = word[1:]
         ends = np.flatnonzero(word & (~after | edge[1:])) + 1
         yield Block(low, part, text_at, starts, ends, np.searchsorted(starts, text_at))
-        low = high

@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from braid.llm.pieces import split_texts
+from braid.llm.rolling import slices
 
 # Bounds of a worker's memory: compiled transitions, and pieces whose counts are kept. Beyond its bound each starts anew.
 MOST_TRANSITIONS = 250_000
 MOST_PIECES = 400_000
-BLOCK_CHARS = 1 << 19
 
 
 class Transducer:
@@ -169,15 +169,9 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").fill_null("").to_pylist()
-            found, part, size = [np.zeros(0, np.int64)], [], 0
-            for i, text in enumerate(texts):
-                part.append(text)
-                size += len(text)
-                if size >= BLOCK_CHARS or i == len(texts) - 1:
-                    found.append(transducer(path).count(part))
-                    part, size = [], 0
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(np.concatenate(found))], names=["id", "n_bytes", "n_tokens"])
+            for part in slices(batch, "text"):
+                n = transducer(path).count(part.column("text").fill_null("").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n_bytes"), pa.array(n)], names=["id", "n_bytes", "n_tokens"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint").withColumnRenamed("id", id_col)
