@@ -65,16 +65,14 @@ def _least_shared(n: int) -> int:
 
 
 def _chunked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """All columns of ``docs`` as ``row``, its id, text and chunk."""
+    """All columns of ``docs`` as ``row``, with its chunk, and the bytes of all texts."""
     size = sketch.text_bytes(docs, text_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    id_, text = F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`")
-    chunk = F.pmod(F.xxhash64(id_, text), F.lit(max(1, -(-size // sketch.CHUNK_BYTES)))).alias("chunk")
-    return rows.select("row", id_.alias("id"), text.alias("text"), chunk), size
+    return rows.select("row", sketch.chunk_of(size, F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"))), size
 
 
 def _members(rows: DataFrame) -> DataFrame:
-    """id, chunk, n and node of every row that has shingles (node is null where it has none)."""
+    """id, chunk, n and node of every row (id, chunk, text); node is null where there are no shingles."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -85,7 +83,7 @@ def _members(rows: DataFrame) -> DataFrame:
                 names=["id", "chunk", "n", "node"],
             )
 
-    return rows.select("id", "text", "chunk").mapInArrow(run, f"id {kind}, chunk bigint, n bigint, node binary")
+    return rows.mapInArrow(run, f"id {kind}, chunk bigint, n bigint, node binary")
 
 
 def _survivors(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
@@ -211,8 +209,9 @@ def links(nodes: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
     """The chunked rows, and the members: id, chunk, n, node and root of every row."""
     rows, size = _chunked(docs, id_col, text_col)
-    members = written(_members(rows), "members")
-    nodes = written(_survivors(rows, members, size), "survivors")
+    slim = rows.select(F.col(f"row.`{id_col}`").alias("id"), "chunk", F.col(f"row.`{text_col}`").alias("text"))
+    members = written(_members(slim), "members")
+    nodes = written(_survivors(slim, members, size), "survivors")
     roots = links(nodes, part_rows).select(F.col("node").alias("of"), "root")
     discard(nodes)
     return rows, members.join(roots, members["node"] == roots["of"], "left").select("id", "chunk", "n", "node", F.coalesce("root", "node").alias("root"))
@@ -237,15 +236,15 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     def run(table: pa.Table, keep: pa.Table) -> pa.Table:
         wanted = set(zip(keep.column("id").to_pylist(), keep.column("node").to_pylist(), strict=True))
-        texts = table.column("text")
+        row = table.column("row").combine_chunks() if table.num_rows else pa.array([], table.schema.field("row").type)
+        texts = row.field(text_col)
         best: dict[tuple, tuple[str, int]] = {}
         out = []
-        for i, (id_, shingles) in enumerate(zip(table.column("id").to_pylist(), shingle_sets(texts), strict=True)):
+        for i, (id_, shingles) in enumerate(zip(row.field(id_col).to_pylist(), shingle_sets(texts), strict=True)):
             if not len(shingles):
                 out.append(i)
             elif (key := (id_, _digest(shingles))) in wanted:
                 best[key] = min(best.get(key, (texts[i].as_py(), i)), (texts[i].as_py(), i))
-        row = table.column("row").combine_chunks() if table.num_rows else pa.array([], table.schema.field("row").type)
         return pa.Table.from_struct_array(row.take(pa.array(sorted([*out, *(i for _, i in best.values())]), pa.int64())))
 
     return rows.groupBy("chunk").cogroup(keep.groupBy("chunk")).applyInArrow(run, T.StructType(schema.fields))

@@ -34,7 +34,7 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.select(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
 
 
-def chunk_of(total_bytes: int, *columns: str) -> Column:
+def chunk_of(total_bytes: int, *columns: Column | str) -> Column:
     """The chunk of a row, by a hash of its content."""
     return F.pmod(F.xxhash64(*columns), F.lit(max(1, -(-total_bytes // CHUNK_BYTES)))).alias("chunk")
 
