@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from braid.llm.rolling import slices
 from braid.llm.word_tokens import TextEncoder
+from braid.shared import written
 
 LENGTH = 2048
 # A source gives at least so many tokens at a time, unless its document or the window ends before.
@@ -144,7 +145,8 @@ def pack(
     """
     size = docs.select(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
-    rows = tokenised(docs, path, end_id, shards, id_col, text_col, source_col).repartition("shard")
+    # Written, so that counting and packing tokenise each text once.
+    rows = written(tokenised(docs, path, end_id, shards, id_col, text_col, source_col), "tokens")
     counts = rows.groupBy("shard", "source").agg(F.sum("n_tokens").alias("n"))
     owed = _credits(counts, mixture)
     numbers = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
