@@ -170,20 +170,20 @@ def _across(met: DataFrame, nodes: DataFrame, roots: DataFrame, part_rows: int)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     known = known.select("at", "node", "root", "part", other.alias("other"))
     known = known.select("at", "node", "root", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
-    known = known.join(nodes.select(F.col("node").alias("of"), "counts", "first"), F.col("node") == F.col("of")).select("at", "x", "y", "node", "root", "part", "counts", "first")
+    known = known.join(nodes.select(F.col("node").alias("of"), "counts", "first"), F.col("node") == F.col("of"))
+    # Of a node's first elements, those before this block's: a pair that shares one of them has met there.
+    known = known.select("at", "x", "y", "node", "root", "part", "counts", F.slice("first", F.lit(1), F.array_position("first", F.col("at")).cast("int") - 1).alias("before"))
 
     def run(table: pa.Table) -> pa.Table:
         names = table.column("node").to_pylist()
         points = np.stack([counts_of(c) for c in table.column("counts").to_pylist()])
         labels = np.unique(table.column("root").to_pylist(), return_inverse=True)[1]
-        parts, at = table.column("part").to_numpy(), np.int64(table.column("at")[0].as_py())
+        parts, before = table.column("part").to_numpy(), [x.values.to_numpy() for x in table.column("before")]
         crossing = table.column("x")[0].as_py() != table.column("y")[0].as_py()
-        # The elements before this block's: a pair that shares one of them has met there.
-        first = [f[: np.searchsorted(f.view(np.uint64), at.view(np.uint64))] for f in (x.values.to_numpy() for x in table.column("first"))]
         found = []
         for a, b in Tree(points, labels).pairs():
             for i, j in zip(a.tolist(), b.tolist(), strict=True):
-                if (not crossing or parts[i] != parts[j]) and not len(np.intersect1d(first[i], first[j], assume_unique=True)):
+                if (not crossing or parts[i] != parts[j]) and not len(np.intersect1d(before[i], before[j], assume_unique=True)):
                     found.append((names[i], names[j]) if names[i] < names[j] else (names[j], names[i]))
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
 
