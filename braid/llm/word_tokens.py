@@ -13,7 +13,8 @@ from itertools import chain
 import numpy as np
 
 # Words kept per worker; beyond, the store starts anew.
-MOST_WORDS = 900_000
+MOST_WORDS = 600_000
+_MARKS = (".", ",")
 
 
 class TextEncoder:
@@ -33,7 +34,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens added."""
-        split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
+        split = [_folded(text).replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
         all_words = set().union(*split)
         new = all_words.difference(self.number)
         if self.number and len(self.number) + len(new) > MOST_WORDS:
@@ -50,11 +51,30 @@ class TextEncoder:
         return out
 
     def _learn(self, words: list[str]) -> None:
+        # A full stop or comma after a letter is a token of its own: such a word is the word before and the mark.
+        marked = [word for word in words if word[-1:] in _MARKS and word[-2:-1].isascii() and word[-2:-1].isalpha()]
+        plain = set(words).difference(marked)
+        self._ask([*plain, *{part for word in marked for part in (word[:-1], word[-1])}.difference(plain, self.number)])
+        parts = np.fromiter((self.number[part] for word in marked for part in (word[:-1], word[-1])), np.int64, 2 * len(marked))
+        first, length = self.edges[parts], self.edges[parts + 1] - self.edges[parts]
+        ends = np.cumsum(length)
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - length), length)]
+        self._add(marked, length.reshape(-1, 2).sum(axis=1), ids)
+
+    def _ask(self, words: list[str]) -> None:
         found = [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(words, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+
+    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
         self.edges = np.concatenate([self.edges, len(self.flat) + np.cumsum(sizes)])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+        self.flat = np.concatenate([self.flat, ids])
+
+
+def _folded(text: str) -> str:
+    """The text in lower case where that is sure to be what the tokenizer does anyway: ASCII, and no special token's start."""
+    return text.lower() if text.isascii() and "<" not in text else text
 
 
 def _check(file: dict) -> None:
@@ -63,3 +83,5 @@ def _check(file: dict) -> None:
     first = steps[0]
     if first.get("type") != "Split" or not first.get("invert") or any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in file["added_tokens"]):
         raise ValueError("this tokenizer does not encode words one by one")
+    if {"type": "Lowercase"} not in ((file.get("normalizer") or {}).get("normalizers") or []):
+        raise ValueError("this tokenizer does not lower the case")

@@ -129,7 +129,7 @@ def test_word_tokens(monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     library, own = __import__("tokenizers").Tokenizer.from_file(path), word_tokens.TextEncoder(path)
     rng = random.Random(1)
-    texts = ["".join(rng.choice(list("aB é'sÉ1日.!\t\n\x0b\x85\x1c ") + ["ß", "Σ", "é", "<|endoftext|>", "  "]) for _ in range(30)) for _ in range(400)]
+    texts = ["".join(rng.choice(list("aB é'sÉ1日.!\t\n\x0b\x85\x1c ") + ["ß", "Σ", "é", "<|endoftext|>", "<|ENDOFTEXT|>", "  ", "ab. ", "Ab, ", "..", ".,", "İ"]) for _ in range(30)) for _ in range(400)]
     assert [x.tolist() for k in range(0, 400, 20) for x in own.encode(texts[k : k + 20])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
