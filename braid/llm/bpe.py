@@ -38,14 +38,14 @@ _RARE = re.compile(f"[{''.join(_WHITE - {' ', chr(10)})}]")
 class PairTable:
     """Ranks of pairs of tokens in an open hash table, looked up for whole arrays."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        pairs = [(ranks[t[:k]] << 32 | ranks[t[k:]], rank) for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+    def __init__(self, pairs: list[tuple[int, int, int]]):
+        """``pairs``: left, right and rank."""
         bits = max(4, (4 * len(pairs)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.full(1 << bits, -1, np.int64)
         self.ranks = np.full(1 << bits, _NONE, np.int32)
-        keys = np.array([key for key, _ in pairs], np.int64)
-        values = np.array([rank for _, rank in pairs], np.int32)
+        keys = np.array([left << 32 | right for left, right, _ in pairs], np.int64)
+        values = np.array([rank for _, _, rank in pairs], np.int32)
         slots = self._slots(keys)
         while len(keys):
             free = self.keys[slots] == -1
@@ -75,12 +75,44 @@ class PairTable:
         return flat.reshape(out.shape)
 
 
+def merged(tokens: np.ndarray, pairs: PairTable, made: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Merge rows of tokens, -1 after their end: row numbers, numbers of ids, and ids, of rows as they are done. ``made`` has the
+    token that a merge of each rank makes; without it that is the rank."""
+    rows = np.arange(len(tokens))
+    ranks = pairs.look_up(tokens[:, :-1], tokens[:, 1:])
+    columns = np.arange(tokens.shape[1])
+    while len(rows):
+        at = ranks.argmin(axis=1)
+        best = ranks[np.arange(len(rows)), at]
+        done = best == _NONE
+        if done.any():
+            left = tokens[done]
+            yield rows[done], (left >= 0).sum(axis=1), left[left >= 0]
+            rows, tokens, ranks, at, best = rows[~done], tokens[~done], ranks[~done], at[~done], best[~done]
+            if not len(rows):
+                return
+        # The pair becomes one token and what follows moves up; only the ranks on both sides of it are new.
+        k = np.arange(len(rows))
+        moved = np.minimum(columns + (columns > at[:, None]), len(columns) - 1)
+        tokens = np.take_along_axis(tokens, moved, axis=1)
+        tokens[:, -1] = -1
+        tokens[k, at] = best if made is None else made[best]
+        ranks = np.take_along_axis(ranks, np.minimum(moved[:, :-1], ranks.shape[1] - 1), axis=1)
+        ranks[:, -1] = _NONE
+        after = np.where(at + 1 < len(columns), tokens[k, np.minimum(at + 1, len(columns) - 1)], -1)
+        inside = at < ranks.shape[1]
+        ranks[k[inside], at[inside]] = pairs.look_up(tokens[k, at], after)[inside]
+        some = at > 0
+        ranks[k[some], at[some] - 1] = pairs.look_up(tokens[k[some], at[some] - 1], tokens[k[some], at[some]])
+
+
 class Encoder:
     def __init__(self, path: str):
         with open(path, "rb") as file:
             lines = [line.split() for line in file if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.pairs = PairTable(self.ranks)
+        ranks = self.ranks
+        self.pairs = PairTable([(ranks[t[:k]], ranks[t[k:]], rank) for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks])
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
@@ -105,43 +137,14 @@ class Encoder:
             if len(rows):
                 data = np.frombuffer(b"".join([pieces[i].ljust(width, b"\0") for i in rows.tolist()]), np.uint8).reshape(len(rows), width)
                 tokens = np.where(np.arange(width) < lengths[rows, None], self.of_byte[data], np.int32(-1))
-                parts += [(rows[done], n, ids) for done, n, ids in self._merged(tokens)]
+                parts += [(rows[done], n, ids) for done, n, ids in merged(tokens, self.pairs)]
         for i in np.flatnonzero(todo & (lengths > WIDTHS[-1])).tolist():
             ids = self._by_heap(pieces[i])
             parts.append((np.array([i]), np.array([len(ids)]), ids))
         number, sizes, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(number)
         starts = np.cumsum(sizes) - sizes
-        return _gathered(flat, starts[order], sizes[order]).astype(np.int32), sizes[order]
-
-    def _merged(self, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Row numbers, numbers of ids, and ids, of rows as they are done."""
-        rows = np.arange(len(tokens))
-        ranks = self.pairs.look_up(tokens[:, :-1], tokens[:, 1:])
-        columns = np.arange(tokens.shape[1])
-        while len(rows):
-            at = ranks.argmin(axis=1)
-            best = ranks[np.arange(len(rows)), at]
-            done = best == _NONE
-            if done.any():
-                left = tokens[done]
-                yield rows[done], (left >= 0).sum(axis=1), left[left >= 0]
-                rows, tokens, ranks, at, best = rows[~done], tokens[~done], ranks[~done], at[~done], best[~done]
-                if not len(rows):
-                    return
-            # The pair becomes one token and what follows moves up; only the ranks on both sides of it are new.
-            k = np.arange(len(rows))
-            moved = np.minimum(columns + (columns > at[:, None]), len(columns) - 1)
-            tokens = np.take_along_axis(tokens, moved, axis=1)
-            tokens[:, -1] = -1
-            tokens[k, at] = best
-            ranks = np.take_along_axis(ranks, np.minimum(moved[:, :-1], ranks.shape[1] - 1), axis=1)
-            ranks[:, -1] = _NONE
-            after = np.where(at + 1 < len(columns), tokens[k, np.minimum(at + 1, len(columns) - 1)], -1)
-            inside = at < ranks.shape[1]
-            ranks[k[inside], at[inside]] = self.pairs.look_up(tokens[k, at], after)[inside]
-            some = at > 0
-            ranks[k[some], at[some] - 1] = self.pairs.look_up(tokens[k[some], at[some] - 1], tokens[k[some], at[some]])
+        return gathered(flat, starts[order], sizes[order]).astype(np.int32), sizes[order]
 
     def _by_heap(self, piece: bytes) -> np.ndarray:
         tokens = [piece[i : i + 1] for i in range(len(piece))]
@@ -180,7 +183,7 @@ class Encoder:
         for found in split:
             which = np.fromiter(map(self.number.__getitem__, found), np.int64, len(found))
             first = self.edges[which]
-            out.append(_gathered(self.flat, first, self.edges[which + 1] - first))
+            out.append(gathered(self.flat, first, self.edges[which + 1] - first))
         return out
 
     def _learn(self, new: list[str]) -> None:
@@ -195,16 +198,16 @@ class Encoder:
         per_unit = np.concatenate([[0], np.cumsum(sizes[which])])[np.cumsum(counts)]
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
         self.edges = np.concatenate([self.edges, len(self.flat) + per_unit])
-        self.flat = np.concatenate([self.flat, _gathered(ids, (np.cumsum(sizes) - sizes)[which], sizes[which])])
+        self.flat = np.concatenate([self.flat, gathered(ids, (np.cumsum(sizes) - sizes)[which], sizes[which])])
 
     def decode(self, ids: np.ndarray) -> bytes:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.token_at) - 1):
             raise ValueError("an id is not in the file of ranks")
         first = self.token_at[ids]
-        return _gathered(self.token_bytes, first, self.token_at[ids + 1] - first).tobytes()
+        return gathered(self.token_bytes, first, self.token_at[ids + 1] - first).tobytes()
 
 
-def _gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs of ``values`` from each start, one after another."""
     ends = np.cumsum(lengths)
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]

@@ -43,7 +43,7 @@ class Transducer:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError("special tokens have to be plain strings")
         self.specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        shown = _shown_bytes()
+        shown = shown_bytes()
         self.tokens = {bytes(shown[c] for c in token): i for token, i in model["vocab"].items() if all(c in shown for c in token)}
         spelled = {i: token for token, i in self.tokens.items()}
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
@@ -151,7 +151,7 @@ class Transducer:
         return special + np.bincount(np.array(owner, np.int64), sums[ends] - sums[ends - per_part - 1], len(texts)).astype(np.int64)
 
 
-def _shown_bytes() -> dict[str, int]:
+def shown_bytes() -> dict[str, int]:
     """How byte-level vocabularies spell bytes: printable ones as themselves, the others by the characters from 256 on."""
     kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     moved = [b for b in range(256) if b not in kept]

@@ -1,5 +1,8 @@
 """Token ids of texts by a ``tokenizers`` file, with every distinct word encoded once per worker.
 
+Words of letters alone are merged in padded matrices (``bpe``), which is several times as fast as the library; the library
+encodes all others.
+
 Splitting at the blank, tab and line feed first is the same as encoding the whole text where the tokenizer drops white space
 and nothing joins across it. ``TextEncoder`` is for such files only and says so for others.
 """
@@ -8,10 +11,14 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from itertools import chain
 
 import numpy as np
 
+from braid.llm.bpe import WIDTHS, PairTable, gathered, merged
+from braid.llm.token_counts import shown_bytes
+
 # Words kept per worker; beyond, the store starts anew.
 MOST_WORDS = 600_000
 _MARKS = (".", ",")
@@ -23,8 +30,15 @@ class TextEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, encoding="utf-8") as file:
-            _check(json.load(file))
+            spec = json.load(file)
+        _check(spec)
         self.library = Tokenizer.from_file(path)
+        vocabulary, shown = spec["model"]["vocab"], {byte: char for char, byte in shown_bytes().items()}
+        # The tokens of single bytes, within a word and at its end; merges as left, right and rank, and what each makes.
+        self.inner, self.last = (np.array([vocabulary[shown[b] + end] for b in range(256)], np.int32) for end in ("", "</w>"))
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
+        self.pairs = PairTable([(vocabulary[a], vocabulary[b], rank) for rank, (a, b) in enumerate(merges)])
+        self.made = np.array([vocabulary[a + b] for a, b in merges], np.int32)
         self.clear()
 
     def clear(self) -> None:
@@ -46,8 +60,7 @@ class TextEncoder:
         for words in split:
             which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
             first, length = self.edges[which], self.edges[which + 1] - self.edges[which]
-            ends = np.cumsum(length)
-            out.append(self.flat[np.arange(ends[-1]) + np.repeat(first - (ends - length), length)])
+            out.append(gathered(self.flat, first, length))
         return out
 
     def _learn(self, words: list[str]) -> None:
@@ -57,14 +70,25 @@ class TextEncoder:
         self._ask([*plain, *{part for word in marked for part in (word[:-1], word[-1])}.difference(plain, self.number)])
         parts = np.fromiter((self.number[part] for word in marked for part in (word[:-1], word[-1])), np.int64, 2 * len(marked))
         first, length = self.edges[parts], self.edges[parts + 1] - self.edges[parts]
-        ends = np.cumsum(length)
-        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - length), length)]
-        self._add(marked, length.reshape(-1, 2).sum(axis=1), ids)
+        self._add(marked, length.reshape(-1, 2).sum(axis=1), gathered(self.flat, first, length))
 
     def _ask(self, words: list[str]) -> None:
-        found = [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        """Plain words are merged here, in matrices; all others are the library's."""
+        plain = [low.encode() if (low := _plain(word)) else b"" for word in words]
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            rows = [i for i, data in enumerate(plain) if low < len(data) <= width]
+            if rows:
+                lengths = np.array([len(plain[i]) for i in rows])
+                data = np.frombuffer(b"".join([plain[i].ljust(width, b"\0") for i in rows]), np.uint8).reshape(len(rows), width)
+                columns = np.arange(width)
+                tokens = np.where(columns < lengths[:, None], self.inner[data], np.int32(-1))
+                tokens[np.arange(len(rows)), lengths - 1] = self.last[data[np.arange(len(rows)), lengths - 1]]
+                for done, n, ids in merged(tokens, self.pairs, self.made):
+                    self._add([words[rows[k]] for k in done.tolist()], n, ids.astype(np.uint32))
+        rest = [word for word, data in zip(words, plain, strict=True) if not 0 < len(data) <= WIDTHS[-1]]
+        found = [x.ids for x in self.library.encode_batch_fast(rest, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self._add(words, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+        self._add(rest, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
 
     def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
@@ -72,6 +96,12 @@ class TextEncoder:
         self.flat = np.concatenate([self.flat, ids])
 
 
+def _plain(word: str) -> str | None:
+    """The word in lower case, if it is letters alone and the tokenizer's normal form and lower case cannot differ from this."""
+    low = word.lower()
+    return low if low.isalpha() and "\u03a3" not in word and (word.isascii() or unicodedata.is_normalized("NFC", word)) else None
+
+
 def _folded(text: str) -> str:
     """The text in lower case where that is sure to be what the tokenizer does anyway: ASCII, and no special token's start."""
     return text.lower() if text.isascii() and "<" not in text else text
@@ -83,5 +113,7 @@ def _check(file: dict) -> None:
     first = steps[0]
     if first.get("type") != "Split" or not first.get("invert") or any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in file["added_tokens"]):
         raise ValueError("this tokenizer does not encode words one by one")
+    if file["model"].get("end_of_word_suffix") != "</w>" or steps[-1].get("type") != "ByteLevel" or file["model"].get("ignore_merges"):
+        raise ValueError("only byte-level merges with word ends are known")
     if {"type": "Lowercase"} not in ((file.get("normalizer") or {}).get("normalizers") or []):
         raise ValueError("this tokenizer does not lower the case")
