@@ -75,20 +75,25 @@ class TextEncoder:
     def _ask(self, words: list[str]) -> None:
         """Plain words are merged here, in matrices; all others are the library's."""
         plain = [low.encode() if (low := _plain(word)) else b"" for word in words]
+        lengths = np.fromiter(map(len, plain), np.int64, len(plain))
+        order, sizes, flat = [], [], []
         for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
-            rows = [i for i, data in enumerate(plain) if low < len(data) <= width]
-            if rows:
-                lengths = np.array([len(plain[i]) for i in rows])
-                data = np.frombuffer(b"".join([plain[i].ljust(width, b"\0") for i in rows]), np.uint8).reshape(len(rows), width)
-                columns = np.arange(width)
-                tokens = np.where(columns < lengths[:, None], self.inner[data], np.int32(-1))
-                tokens[np.arange(len(rows)), lengths - 1] = self.last[data[np.arange(len(rows)), lengths - 1]]
+            rows = np.flatnonzero((lengths > low) & (lengths <= width))
+            if len(rows):
+                data = np.frombuffer(b"".join([plain[i].ljust(width, b"\0") for i in rows.tolist()]), np.uint8).reshape(len(rows), width)
+                every, end = np.arange(len(rows)), lengths[rows] - 1
+                tokens = np.where(np.arange(width) <= end[:, None], self.inner[data], np.int32(-1))
+                tokens[every, end] = self.last[data[every, end]]
                 for done, n, ids in merged(tokens, self.pairs, self.made):
-                    self._add([words[rows[k]] for k in done.tolist()], n, ids.astype(np.uint32))
-        rest = [word for word, data in zip(words, plain, strict=True) if not 0 < len(data) <= WIDTHS[-1]]
-        found = [x.ids for x in self.library.encode_batch_fast(rest, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self._add(rest, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+                    order.append(rows[done])
+                    sizes.append(n)
+                    flat.append(ids.astype(np.uint32))
+        rest = np.flatnonzero((lengths == 0) | (lengths > WIDTHS[-1]))
+        found = [x.ids for x in self.library.encode_batch_fast([words[i] for i in rest.tolist()], add_special_tokens=False)]
+        order.append(rest)
+        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        self._add([words[i] for i in np.concatenate(order).tolist()], np.concatenate(sizes), np.concatenate(flat))
 
     def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
