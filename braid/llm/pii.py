@@ -3,7 +3,8 @@
 Four fixed patterns find e-mail and IP addresses, payment cards and phone numbers. Co-occurrence in the whole corpus then says
 how strongly a term near such a value reveals it: of the documents that hold the term, the share in which it stands near that
 one value, and the bits of information that this is above the value's own frequency. Terms beyond both thresholds are spans of
-the kind ``term``. Contexts that are copies of one another count once, so that a copied document is no evidence.
+the kind ``term``. Documents of equal text count once, and so do contexts that are copies of one another, on both sides of the
+share: a copied document is no evidence, neither for a term nor against it.
 
 Spans are in code points, the end exclusive. A term is a run of letters and digits (every byte beyond ASCII counts as one),
 A-Z taken for a-z. Null text is empty. Repeated rows are reported each. Without rows, or without personal data, there are no
@@ -107,7 +108,7 @@ def near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
 
 
 def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: a row number, the id, the fixed patterns' spans, a digest of the text if it has any, and the terms near them."""
+    """Per row: a row number, the id, the fixed patterns' spans, a digest of the text, and the terms near the spans."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,12 +119,12 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             some = np.searchsorted(hints, at[1:]) > np.searchsorted(hints, at[:-1])
             base, near, digests = [], [], []
             for has, low, high in zip(some, at[:-1], at[1:], strict=True):
-                raw = data[low:high].tobytes() if has else b""
-                text = raw.decode()
+                raw = data[low:high].tobytes()
+                text = raw.decode() if has else ""
                 spans = find(text)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
                 near.append(near_terms(text, spans) if spans else [])
-                digests.append(xxhash.xxh3_128_digest(raw) if spans else None)
+                digests.append(xxhash.xxh3_128_digest(raw))
             spans_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
             near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
@@ -134,37 +135,72 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, _FOUND.format(id=rows.schema["id"].dataType.simpleString()))
 
 
-def _documents_with(docs: DataFrame, text_col: str, wanted: np.ndarray) -> DataFrame:
-    """Over all documents, the number that hold each term whose hash is in the filter ``wanted``, as partial counts."""
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _capped(pairs: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a term and a text, each once, of the terms that no more texts hold than ``most`` allows; and the other terms."""
+    pairs = np.unique(pairs)
+    terms, which, n = np.unique(pairs["term"], return_inverse=True, return_counts=True)
+    over = n > most[_buckets(terms)]
+    return pairs[~over[which]], terms[over]
+
+
+def _documents_with(docs: DataFrame, text_col: str, most: np.ndarray) -> DataFrame:
+    """Over all distinct texts, the number that hold each term. ``most`` has a number for each bucket of hashes; terms that
+    more texts hold are left out, so that a frequent term is one row a block and not one for each text."""
+    kind = np.dtype([("term", np.uint64), ("text", np.uint64)])
+    shared = docs.sparkSession.sparkContext.broadcast(most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = shared.value
         for batch in batches:
-            found = []
+            kept, frequent = [np.zeros(0, kind)], [np.zeros(0, np.uint64)]
             for block in blocks(batch.column(0), _BETWEEN):
                 hashes = block.word_hashes(fold=True)
-                hits = np.flatnonzero(wanted[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-                row = np.searchsorted(block.word_at, hits, "right")
-                pairs = np.unique(np.rec.fromarrays([hashes[hits], row]))
-                found.append(pairs.f0)
-            terms, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
-
-    return docs.select(text_col).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("df"))
+                hits = np.flatnonzero(most[_buckets(hashes)])
+                row = np.searchsorted(block.word_at, hits, "right") - 1
+                texts = np.zeros(len(block.text_at) - 1, np.uint64)
+                for i in np.unique(row):
+                    texts[i] = xxhash.xxh3_64_intdigest(block.data[block.text_at[i] : block.text_at[i + 1]].tobytes())
+                pairs = np.zeros(len(hits), kind)
+                pairs["term"], pairs["text"] = hashes[hits], texts[row]
+                few, many = _capped(pairs, most)
+                kept.append(few)
+                frequent.append(many)
+            few, many = _capped(np.concatenate(kept), most)
+            many = np.unique(np.concatenate([*frequent, many]))
+            few = few[~np.isin(few["term"], many)]
+            terms = np.concatenate([few["term"], many]).view(np.int64)
+            # Frequent terms have no text.
+            texts = pa.array(np.concatenate([few["text"], np.zeros(len(many), np.uint64)]).view(np.int64), mask=np.arange(len(terms)) >= len(few))
+            yield pa.RecordBatch.from_arrays([pa.array(terms), texts], names=["term", "text"])
+
+    pairs = docs.select(text_col).mapInArrow(run, "term bigint, text bigint").distinct()
+    return pairs.groupBy("term").agg(F.count("text").alias("df"), F.count("*").alias("n")).filter("df = n").drop("n")
 
 
 def disclosing(found: DataFrame, docs: DataFrame, text_col: str, least_contexts: int, least_share: float, least_bits: float) -> DataFrame:
-    """Pairs of a value and a term that reveals it, with the number of contexts, the share and the bits."""
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.context")
-    pairs = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
-    pairs = written(pairs.filter(F.col("contexts") >= least_contexts), "near_terms")
-    holders = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("holders"))
-    wanted = np.zeros(1 << FILTER_BITS, bool)
-    # At most 2^FILTER_BITS numbers come to the driver, and that many bits go out, however many terms there are.
+    """Pairs of a value and a term that reveals it, with the number of contexts, the share and the bits.
+
+    Everything is counted over distinct texts. Of these, the ones with the term near the value count by their distinct contexts.
+    """
+    near = found.select("digest", F.explode("near").alias("x")).select("digest", "x.entity", "x.term", "x.context")
+    contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
+    beside = near.select("entity", "term", "digest").distinct().groupBy("entity", "term").agg(F.count("*").alias("beside"))
+    pairs = written(contexts.filter(F.col("contexts") >= least_contexts).join(beside, ["entity", "term"]), "near_terms")
+    holders = near.select("digest", "entity").distinct().groupBy("entity").agg(F.count("*").alias("holders"))
+    # In more texts than these, a term's share falls short with every value.
+    most = np.zeros(1 << FILTER_BITS, np.int32)
+    limit = F.col("beside") + F.col("contexts") * (1 / least_share - 1) + 1 if least_share > 0 else F.lit(2.0**31)
+    # At most 2^FILTER_BITS numbers come to the driver, and that many go out, however many terms there are.
     bucket = F.shiftrightunsigned("term", 64 - FILTER_BITS).cast("int").alias("bucket")
-    wanted[[row.bucket for row in pairs.select(bucket).distinct().collect()]] = True
-    total = found.count()
-    out = pairs.join(_documents_with(docs, text_col, wanted), "term").join(holders, "entity")
-    share = F.col("contexts") / F.col("df")
+    limits = pairs.groupBy(bucket).agg(F.max(F.least(limit, F.lit(2.0**31 - 1))).cast("int").alias("most")).toArrow()
+    most[limits["bucket"].to_numpy()] = limits["most"].to_numpy()
+    total = found.select("digest").distinct().count()
+    out = pairs.join(_documents_with(docs, text_col, most), "term").join(holders, "entity")
+    share = F.col("contexts") / (F.col("contexts") + F.col("df") - F.col("beside"))
     bits = F.log2(share / (F.col("holders") / F.lit(max(total, 1))))
     return out.select("entity", "term", "contexts", share.alias("share"), bits.alias("bits")).filter((F.col("share") >= least_share) & (F.col("bits") >= least_bits))
 

@@ -318,6 +318,46 @@ def test_terms_that_reveal_a_value_are_spans(spark):
     assert pii.sanitised(df).columns == df.columns
 
 
+def term_texts():
+    """Six contexts of one value with a term that stands nowhere else, among many other texts."""
+    rng = random.Random(12)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in "bdfgklmn"]
+    noise = lambda n=12: " ".join(rng.choice(vocabulary) for _ in range(n))
+    return noise, [f"{noise()} quartermaster ann@x.org {noise()}" for _ in range(6)], [f"{noise()} bob{i}@y.org {noise()}" for i in range(300)]
+
+
+def terms_found(spark, texts, **thresholds):
+    found = pii.personal_data(documents(spark, texts), **thresholds).collect()
+    return {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == 4] for r in found}
+
+
+@pytest.mark.parametrize("copies", [20, 400])
+def test_copies_hide_no_term(spark, copies):
+    noise, held, others = term_texts()
+    passage = noise(20)
+    # Whole copies, and texts that differ only far from the value.
+    texts = [*held, *[held[0]] * copies, *[f"{passage} quartermaster ann@x.org {passage} {i}" for i in range(7)], *others]
+    found = terms_found(spark, texts)
+    assert all(found[i] == ["quartermaster"] for i in range(len(held) + copies + 7))
+    assert not any(found[i] for i in range(len(held) + copies + 7, len(texts)))
+
+
+def test_copies_are_no_evidence_for_a_term(spark):
+    noise, held, others = term_texts()
+    # Three contexts, one of them in many texts, against ten texts with the term alone.
+    texts = [*held[:2], *[held[2]] * 200, *[f"{held[2]} {i}" for i in range(9)], *[f"{noise()} quartermaster {noise()}" for _ in range(10)], *others]
+    assert not any(terms_found(spark, texts).values())
+
+
+def test_frequent_terms_are_left_out_exactly(spark):
+    """With the term in as many texts again, its share is 0.5 to the dot; one more is too many."""
+    noise, held, others = term_texts()
+    for more in (6, 7):
+        texts = [*held, *[f"{noise()} quartermaster {noise()}" for _ in range(more)], *others]
+        found = terms_found(spark, texts)
+        assert all(found[i] == (["quartermaster"] if more == 6 else []) for i in range(6))
+
+
 def test_patterns_on_long_runs():
     for text in ("1" * 50_000, "a" * 50_000 + "@", "a.b" * 20_000 + "@x", "1." * 30_000, "+1" + " " * 50_000, "0" * 3000 + ".1.1.1", "x@y.z" * 2000):
         assert pii.find(text) == [(a, k, b) for a, k, b, _ in brute.spans(text, brute.PII)] if len(text) < 9000 else pii.find(text) is not None
