@@ -2,8 +2,8 @@
 
 Four fixed patterns find e-mail and IP addresses, payment cards and phone numbers. Co-occurrence in the whole corpus then says
 how strongly a term near such a value reveals it: of the documents that hold the term, the share in which it stands near that
-one value, and the bits of information that this is above the value's own frequency. Terms beyond both thresholds are spans of
-the kind ``term``. Documents of equal text count once, and so do contexts that are copies of one another, on both sides of the
+one value, and the bits of information that this is above the value's own frequency. Each occurrence of a term beyond both
+thresholds is a span of the kind ``term``, in every text, near a value or not, unless it lies within a fixed pattern's span. Documents of equal text count once, and so do contexts that are copies of one another, on both sides of the
 share: a copied document is no evidence, neither for a term nor against it.
 
 Spans are in code points, the end exclusive. A term is a run of letters and digits (every byte beyond ASCII counts as one),
@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from braid.llm.rolling import blocks, buffers
@@ -46,10 +46,8 @@ FILTER_BITS = 20
 
 _BETWEEN = np.array([x < 128 and not chr(x).isalnum() for x in range(256)])
 _TERM = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]{3,}")
-_FOUND = (
-    "row bigint, id {id}, base array<struct<start:int,kind:int,end:int>>, digest binary, "
-    "near array<struct<entity:bigint,term:bigint,start:int,end:int,context:bigint>>"
-)
+_NEAR = "digest binary, near array<struct<entity:bigint,term:bigint,context:bigint>>"
+_FOUND = "row bigint, id {id}, digest binary, base array<struct<start:int,kind:int,end:int>>, terms array<struct<term:bigint,start:int,end:int>>"
 
 
 def _luhn(digits: str) -> bool:
@@ -90,7 +88,7 @@ def _term_hashes(terms: list[str]) -> list[int]:
 
 
 def near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """The terms beside each span: which value, which term, where, and a hash of the whole context."""
+    """The terms beside each span: which value, which term, and a hash of the whole context."""
     terms = [m for m in _TERM.finditer(text) if not m[0].isdecimal()]
     starts = np.array([m.start() for m in terms], np.int64)
     ends = np.array([m.end() for m in terms], np.int64)
@@ -103,38 +101,79 @@ def near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         beside = [i for i in [*range(max(0, left - NEAR_TERMS), left), *range(right, min(len(terms), right + NEAR_TERMS))] if free[i]]
         value = text[start:end].lower() if kind < 2 else re.sub("[^0-9]", "", text[start:end])
         entity, context = _hash(f"{kind}:{value}"), _hash(" ".join(str(hashes[i]) for i in beside))
-        out += [{"entity": entity, "term": hashes[i], "start": int(starts[i]), "end": int(ends[i]), "context": context} for i in beside]
+        out += [{"entity": entity, "term": hashes[i], "context": context} for i in beside]
     return out
 
 
-def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: a row number, the id, the fixed patterns' spans, a digest of the text, and the terms near the spans."""
+def _texts(column: pa.Array) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
+    """Each text's bytes and the spans that the fixed patterns find in it."""
+    data, at = buffers(column)
+    # Every pattern needs a digit or an at sign; most texts have neither and need no further look.
+    hints = np.flatnonzero(((data >= 48) & (data <= 57)) | (data == 64))
+    some = np.searchsorted(hints, at[1:]) > np.searchsorted(hints, at[:-1])
+    for has, low, high in zip(some, at[:-1], at[1:], strict=True):
+        raw = data[low:high].tobytes()
+        yield raw, find(raw.decode()) if has else []
+
+
+def contexts(docs: DataFrame, text_col: str) -> DataFrame:
+    """Per row: a digest of the text, and the terms near the fixed patterns' spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64())]))
+        for batch in batches:
+            near, digests = [], []
+            for raw, spans in _texts(batch.column(0)):
+                near.append(near_terms(raw.decode(), spans) if spans else [])
+                digests.append(xxhash.xxh3_128_digest(raw))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(near, near_type)], names=["digest", "near"])
+
+    return docs.select(text_col).mapInArrow(run, _NEAR)
+
+
+def scanned(docs: DataFrame, id_col: str, text_col: str, wanted: np.ndarray) -> DataFrame:
+    """Per row: a row number, the id, a digest of the text, the fixed patterns' spans, and where terms stand outside of these
+    whose hash is in the filter ``wanted``."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+        terms_type = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            data, at = buffers(batch.column("text"))
-            # Every pattern needs a digit or an at sign; most texts have neither and need no further look.
-            hints = np.flatnonzero(((data >= 48) & (data <= 57)) | (data == 64))
-            some = np.searchsorted(hints, at[1:]) > np.searchsorted(hints, at[:-1])
-            base, near, digests = [], [], []
-            for has, low, high in zip(some, at[:-1], at[1:], strict=True):
-                raw = data[low:high].tobytes()
-                text = raw.decode() if has else ""
-                spans = find(text)
+            base, digests, terms = [], [], [[] for _ in range(len(batch))]
+            for raw, spans in _texts(batch.column("text")):
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                near.append(near_terms(text, spans) if spans else [])
                 digests.append(xxhash.xxh3_128_digest(raw))
-            spans_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-            near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.int64())]))
+            for row, term, start, end in _occurrences(batch.column("text"), wanted):
+                if not any(x["start"] <= start and end <= x["end"] for x in base[row]):
+                    terms[row].append({"term": term, "start": start, "end": end})
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("id"), pa.array(base, spans_type), pa.array(digests, pa.binary()), pa.array(near, near_type)],
-                names=["row", "id", "base", "digest", "near"],
+                [batch.column("row"), batch.column("id"), pa.array(digests, pa.binary()), pa.array(base, spans_type), pa.array(terms, terms_type)],
+                names=["row", "id", "digest", "base", "terms"],
             )
 
     return rows.mapInArrow(run, _FOUND.format(id=rows.schema["id"].dataType.simpleString()))
 
 
+def _occurrences(column: pa.Array, wanted: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Row, hash, start and end in code points of each term whose hash is in the filter."""
+    if not wanted.any():
+        return
+    for block in blocks(column, _BETWEEN):
+        hashes = block.word_hashes(fold=True)
+        hits = np.flatnonzero(wanted[_buckets(hashes)])
+        row = np.searchsorted(block.word_at, hits, "right") - 1
+        # Code points are the bytes that do not continue one.
+        points = np.concatenate([[0], np.cumsum(block.data >> 6 != 2)])
+        first = points[block.text_at[row]]
+        found = (block.first_row + row, hashes[hits].view(np.int64), points[block.starts[hits]] - first, points[block.ends[hits]] - first)
+        yield from zip(*[x.tolist() for x in found], strict=True)
+
+
+def _bucket() -> Column:
+    return F.shiftrightunsigned("term", 64 - FILTER_BITS).cast("int").alias("bucket")
+
+
 def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -187,16 +226,15 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str, least_contexts:
     Everything is counted over distinct texts. Of these, the ones with the term near the value count by their distinct contexts.
     """
     near = found.select("digest", F.explode("near").alias("x")).select("digest", "x.entity", "x.term", "x.context")
-    contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
+    apart = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
     beside = near.select("entity", "term", "digest").distinct().groupBy("entity", "term").agg(F.count("*").alias("beside"))
-    pairs = written(contexts.filter(F.col("contexts") >= least_contexts).join(beside, ["entity", "term"]), "near_terms")
+    pairs = written(apart.filter(F.col("contexts") >= least_contexts).join(beside, ["entity", "term"]), "near_terms")
     holders = near.select("digest", "entity").distinct().groupBy("entity").agg(F.count("*").alias("holders"))
     # In more texts than these, a term's share falls short with every value.
     most = np.zeros(1 << FILTER_BITS, np.int32)
     limit = F.col("beside") + F.col("contexts") * (1 / least_share - 1) + 1 if least_share > 0 else F.lit(2.0**31)
     # At most 2^FILTER_BITS numbers come to the driver, and that many go out, however many terms there are.
-    bucket = F.shiftrightunsigned("term", 64 - FILTER_BITS).cast("int").alias("bucket")
-    limits = pairs.groupBy(bucket).agg(F.max(F.least(limit, F.lit(2.0**31 - 1))).cast("int").alias("most")).toArrow()
+    limits = pairs.groupBy(_bucket()).agg(F.max(F.least(limit, F.lit(2.0**31 - 1))).cast("int").alias("most")).toArrow()
     most[limits["bucket"].to_numpy()] = limits["most"].to_numpy()
     total = found.select("digest").distinct().count()
     out = pairs.join(_documents_with(docs, text_col, most), "term").join(holders, "entity")
@@ -206,13 +244,17 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str, least_contexts:
 
 
 def _with_terms(docs: DataFrame, id_col: str, text_col: str, least_contexts: int, least_share: float, least_bits: float) -> DataFrame:
-    found = written(scanned(docs, id_col, text_col), "personal")
-    pairs = disclosing(found, docs, text_col, least_contexts, least_share, least_bits).select("entity", "term")
-    each = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
+    near = written(contexts(docs, text_col), "contexts")
+    terms = written(disclosing(near, docs, text_col, least_contexts, least_share, least_bits).select("term").distinct(), "terms")
+    wanted = np.zeros(1 << FILTER_BITS, bool)
+    wanted[terms.select(_bucket()).distinct().toArrow()["bucket"].to_numpy()] = True
+    found = written(scanned(docs, id_col, text_col, wanted), "personal")
+    # The filter lets some other terms through; the join does not.
+    each = found.select("row", F.explode("terms").alias("x")).select("row", "x.term", "x.start", "x.end").join(terms, "term")
     span = F.struct("start", F.lit(4).alias("kind"), "end")
-    terms = each.join(pairs, ["entity", "term"]).groupBy("row").agg(F.collect_set(span).alias("terms"))
-    spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms")))
-    return found.join(terms, "row", "left").select("id", "digest", spans.alias("spans"))
+    each = each.groupBy("row").agg(F.collect_list(span).alias("more"))
+    spans = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
+    return found.drop("terms").join(each, "row", "left").select("id", "digest", spans.alias("spans"))
 
 
 def personal_data(
@@ -229,7 +271,7 @@ def sanitised(
 ) -> DataFrame:
     """``docs`` with personal values generalised to their kind, as ``<EMAIL>``, and disclosing terms removed.
 
-    Equal texts have equal spans, so that texts meet their spans by a digest; texts without personal data stay as they are.
+    Equal texts have equal spans, so that texts meet their spans by a digest; texts without any span stay as they are.
     """
     found = _with_terms(docs, id_col, text_col, least_contexts, least_share, least_bits)
     spans = found.filter(F.size("spans") > 0).groupBy(F.col("digest").alias("_digest")).agg(F.first("spans").alias("_spans"))

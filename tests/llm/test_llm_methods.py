@@ -358,6 +358,21 @@ def test_frequent_terms_are_left_out_exactly(spark):
         assert all(found[i] == (["quartermaster"] if more == 6 else []) for i in range(6))
 
 
+def test_every_occurrence_of_a_term_goes(spark):
+    """Far from the value, in other letters, in texts without any value; not within a value, which goes as a whole."""
+    noise, held, others = term_texts()
+    more = [f"é日 Quartermaster {noise(40)} ann@x.org {noise(40)} quartermaster", f"{noise()}\nQUARTERMASTER, {noise()}", f"quartermaster@x.org {noise()} quartermasters"]
+    texts = [*held, *more, *others, None]
+    df = documents(spark, texts)
+    found = terms_found(spark, texts)
+    assert all(found[i] == ["quartermaster"] for i in range(6))
+    assert found[6] == ["Quartermaster", "quartermaster"] and found[7] == ["QUARTERMASTER"]
+    assert not any(found[i] for i in range(8, len(texts)))
+    clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    assert not any("quartermaster" in (clean[i] or "").lower().split() for i in clean) and clean[len(texts) - 1] is None
+    assert clean[7] == texts[7].replace("QUARTERMASTER", "") and clean[8] == texts[8].replace("quartermaster@x.org", "<EMAIL>")
+
+
 def test_patterns_on_long_runs():
     for text in ("1" * 50_000, "a" * 50_000 + "@", "a.b" * 20_000 + "@x", "1." * 30_000, "+1" + " " * 50_000, "0" * 3000 + ".1.1.1", "x@y.z" * 2000):
         assert pii.find(text) == [(a, k, b) for a, k, b, _ in brute.spans(text, brute.PII)] if len(text) < 9000 else pii.find(text) is not None
