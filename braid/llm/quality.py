@@ -23,13 +23,15 @@ from braid.llm.rolling import IS_SPACE, blocks, window_hashes
 
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+# Not part of the results: the lines with a word, of which the repeated ones are a share.
+_MEASURED = (*MEASURES, "n_lines")
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 
 
 def measure_texts(texts: pa.Array) -> dict[str, np.ndarray]:
     """The measures of each text; all counts are over whole texts."""
-    out = {name: np.zeros(len(texts), np.int64) for name in MEASURES}
+    out = {name: np.zeros(len(texts), np.int64) for name in _MEASURED}
     for block in blocks(texts):
         rows = slice(block.first_row, block.first_row + len(block.text_at) - 1)
         out["n_words"][rows] = np.diff(block.word_at)
@@ -38,7 +40,7 @@ def measure_texts(texts: pa.Array) -> dict[str, np.ndarray]:
             sums = np.concatenate([[0], np.cumsum(wanted[block.data])])
             out[name][rows] = np.diff(sums[block.text_at])
         out["n_repeat_words"][rows] = _repeat_words(block)
-        out["n_dup_lines"][rows] = _dup_lines(block)
+        out["n_lines"][rows], out["n_dup_lines"][rows] = _lines(block)
     return out
 
 
@@ -58,40 +60,43 @@ def _repeat_words(block) -> np.ndarray:
     return np.diff(covered[block.word_at])
 
 
-def _dup_lines(block) -> np.ndarray:
-    """Lines with a word that equal an earlier line of their text."""
+def _lines(block) -> tuple[np.ndarray, np.ndarray]:
+    """Lines with a word, and how many of them equal an earlier line of their text."""
+    n = np.minimum(np.diff(block.word_at), 1)
     out = np.zeros(len(block.text_at) - 1, np.int64)
     whole = block.data.tobytes()
     for row, (low, high) in enumerate(zip(block.text_at[:-1], block.text_at[1:], strict=True)):
         if whole.find(b"\n", low, high) >= 0:
             lines = [line for line in whole[low:high].split(b"\n") if line.strip(b" \t\n\x0b\x0c\r")]
-            out[row] = len(lines) - len(set(lines))
-    return out
+            n[row], out[row] = len(lines), len(lines) - len(set(lines))
+    return n, out
 
 
 def measured(rows: DataFrame, text_col: str = "text") -> DataFrame:
     """``row``, a struct that has the text, with a struct ``m`` of its measures."""
-    kind = pa.struct([(name, pa.int64()) for name in MEASURES])
+    kind = pa.struct([(name, pa.int64()) for name in _MEASURED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = measure_texts(batch.column("row").field(text_col))
-            struct = pa.StructArray.from_arrays([pa.array(found[name]) for name in MEASURES], fields=list(kind))
+            struct = pa.StructArray.from_arrays([pa.array(found[name]) for name in _MEASURED], fields=list(kind))
             yield pa.RecordBatch.from_arrays([batch.column("row"), struct], names=["row", "m"])
 
-    struct = T.StructType([T.StructField(name, T.LongType()) for name in MEASURES])
+    struct = T.StructType([T.StructField(name, T.LongType()) for name in _MEASURED])
     return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("m", struct)]))
 
 
-# The rates that adapt: name, measure as a share, which side is bad, and the least distance from the median at which a text
-# may be called unusual, so that a group of very even texts does not drop its slightly less even ones.
-def _rates() -> list[tuple[str, Column, bool, bool, float]]:
-    words, chars = F.greatest(F.col("m.n_words"), F.lit(1)), F.greatest(F.col("m.word_chars"), F.lit(1))
+# The rates that adapt: name, measure as a share, which side is bad, the least distance from the median at which a text may be
+# called unusual, so that a group of very even texts does not drop its slightly less even ones, and by how much a text's own
+# length widens the fence: a mean over few words strays more, and two repeated lines, or one passage of fifteen words that
+# stands twice, are a large share of a short text. In a longer text both rates reject below the fixed rule's 20 %.
+def _rates() -> list[tuple[str, Column, bool, bool, float, Column]]:
+    words, chars, lines = (F.greatest(F.col(f"m.{name}"), F.lit(1)) for name in ("n_words", "word_chars", "n_lines"))
     return [
-        ("word_length", F.col("m.word_chars") / words, True, True, 2.0),
-        ("symbol_rate", F.col("m.n_symbols") / chars, False, True, 0.05),
-        ("dup_line_rate", F.col("m.n_dup_lines") / words, False, True, 0.15),
-        ("repeat_rate", F.col("m.n_repeat_words") / words, False, True, 0.2),
+        ("word_length", F.col("m.word_chars") / words, True, True, 2.0, 8 / F.sqrt(words)),
+        ("symbol_rate", F.col("m.n_symbols") / chars, False, True, 0.05, F.lit(0.0)),
+        ("dup_line_rate", F.col("m.n_dup_lines") / lines, False, True, 0.1, 2 / lines),
+        ("repeat_rate", F.col("m.n_repeat_words") / words, False, True, 0.05, 30 / words),
     ]
 
 
@@ -108,7 +113,7 @@ def fences(rows: DataFrame, k: int = 200, spread: float = 3.0) -> DataFrame:
     wanted = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
     quartiles = sketched.select("g0", "g1", *[F.kll_sketch_get_quantile_double(F.col(name), wanted).alias(name) for name, *_ in rates])
     limits = []
-    for name, _, _, _, least in rates:
+    for name, _, _, _, least, _ in rates:
         q = F.col(name)
         reach = spread * (q[2] - q[0])
         limits.append(F.struct(F.least(q[0] - reach, q[1] - least).alias("low"), F.greatest(q[2] + reach, q[1] + least).alias("high")).alias(name))
@@ -128,10 +133,7 @@ def judged(docs: DataFrame, text_col: str = "text", groups: tuple[str, str] = ("
     limits = fences(rows([text_col, *groups]).drop("row"), k, spread).select(F.col("g0").alias("f0"), F.col("g1").alias("f1"), "fence")
     out = rows(docs.columns).join(limits, F.col("g0").eqNullSafe(F.col("f0")) & F.col("g1").eqNullSafe(F.col("f1")), "left")
     usual = F.lit(True)
-    # A short text's mean word length strays more: its fence widens with the error of a mean over so few words.
-    slack = 8 / F.sqrt(F.greatest(F.col("m.n_words"), F.lit(1)))
-    for name, rate, below, above, _ in _rates():
-        more = slack if name == "word_length" else F.lit(0.0)
+    for name, rate, below, above, _, more in _rates():
         if below:
             usual &= F.coalesce(rate >= F.col(f"fence.{name}.low") - more, F.lit(True))
         if above:

@@ -264,6 +264,32 @@ def test_fences_follow_language_and_source(spark):
     assert 500 in dropped and not dropped & {501, 502, *range(80), *range(100, 180)}
 
 
+def test_each_rate_alone_rejects_what_the_fixed_rules_pass(spark):
+    rng = random.Random(14)
+    word = lambda low=3, high=8: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(low, high)))
+    line = lambda n=10: " ".join(word() for _ in range(n))
+    lines = lambda n: [line() for _ in range(n)]
+    passage = line(15)
+    usual = ["\n".join(lines(30)) for _ in range(80)]
+    bad = {
+        "word_length": " ".join(word(9, 14) for _ in range(300)),
+        "symbol_rate": "\n".join(f"{x} #########################" for x in lines(30)),
+        # Short lines between others repeat no window of five words.
+        "dup_line_rate": "\n".join(f"{x}\nread on" for x in lines(20)),
+        "repeat_rate": " ".join([*(line(19) + " " for _ in range(13)), *[line(28)] * 2]),
+    }
+    # A passage twice, in a short text and in a long one; a line twice in a short text.
+    good = [f"{line(60)} {passage} {line(70)} {passage}", f"{line(200)} {passage} {line(90)} {passage}", "\n".join([*lines(6), passage, *lines(7), passage])]
+    texts = [*usual, *bad.values(), *good]
+    df = spark.createDataFrame([(i, t, "en", "s", 0, "", 0, "", "", "") for i, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id: r for r in quality.quality(df).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert [name for i, name in enumerate(bad, 80) if found[i].kept] == []
+    assert all(found[i].kept for i in (*range(80), *range(84, 87)))
+    assert 0.17 < found[83].n_repeat_words / found[83].n_words <= 0.2 and found[82].n_repeat_words == 0
+    assert found[83].n_dup_lines == 0 and list(found[80].asDict()) == ["doc_id", *quality.MEASURES, "base_failed", "kept"]
+
+
 def test_the_model_is_a_distribution(spark):
     texts = [("xx", "abab abba baab abc"), ("xx", "cab bac"), ("yy", "zyx yxz"), ("yy", "zzz y")]
     counts: dict = {}
