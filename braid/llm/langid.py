@@ -217,15 +217,17 @@ def _sorted(rows: dict[str, np.ndarray], size: int, width: int) -> tuple[np.ndar
 
 def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model of ``rows`` (key, lang, text, all languages non-null), from about ``fit_rows`` rows per language."""
-    # One number per language comes here, as the whole model does.
-    shares = {row.lang: min(1.0, fit_rows / row.n) for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not shares:
-        return kneser_ney({})
-    share = F.create_map(*[F.lit(x) for pair in sorted(shares.items()) for x in pair])[F.col("lang")]
     # A hash of the key, not chance, picks the rows: the same ones again after a task is lost.
     draw = F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(1 << 20)) / F.lit(1 << 20)
+    # Two numbers per language come here, as the whole model does.
+    found = sorted(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("least")).collect())
+    if not found:
+        return kneser_ney({})
+    share = F.create_map(*[F.lit(x) for row in found for x in (row.lang, min(1.0, fit_rows / row.n))])[F.col("lang")]
+    least = F.create_map(*[F.lit(x) for row in found for x in (row.lang, row.least)])[F.col("lang")]
     drawn = rows.withColumn("draw", draw).withColumn("share", share).filter(F.col("draw") < F.col("share"))
-    late = F.col("draw") >= F.col("share") * (1 - CALIBRATE_SHARE)
+    # The least draw of a language is for fitting, however few rows there are: a language without counts is never predicted.
+    late = (F.col("draw") >= F.col("share") * (1 - CALIBRATE_SHARE)) & (F.col("draw") > least)
     counts: dict[str, dict[str, int]] = {}
     for row in counted(drawn.filter(~late).select("lang", "text")).toLocalIterator():
         counts.setdefault(row.lang, {})[row.gram] = row.n

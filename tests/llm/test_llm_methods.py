@@ -311,6 +311,12 @@ def test_the_model_is_a_distribution(spark):
     assert found == ["xx", "yy", "und", "und", "und", "xx"] and scores[2] == 0 and (scores <= 1).all()
 
 
+def test_languages_with_few_rows_are_learned(spark):
+    rows = [(i, f"l{i // 2 if i < 20 else i}", "".join(chr(ord("a") + (i * 7 + k) % 26) for k in range(20))) for i in range(50)]
+    model = langid.fit(spark.createDataFrame(rows, "key bigint, lang string, text string"))
+    assert model.languages == sorted({lang for _, lang, _ in rows})
+
+
 def score(model, points, k):
     """The last character's log probability, by walking the tables one by one."""
     total = 0.0
