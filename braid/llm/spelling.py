@@ -274,7 +274,9 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     itself; its root is the end of the chain of forms."""
     words = written(vocabulary(docs, id_col, text_col), "words")
     pairs = near_words(words)
-    both = pairs.select(F.col("a").alias("of"), F.col("b").alias("near"), F.col("n_b").alias("n_of_near")).unionAll(pairs.select("b", "a", "n_a"))
+    # Both ways at once: a union would work out all pairs twice.
+    ways = [F.struct(F.col(a).alias("of"), F.col(b).alias("near"), F.col(f"n_{b}").alias("n_of_near")) for a, b in (("a", "b"), ("b", "a"))]
+    both = pairs.select(F.inline(F.array(*ways)))
     best = F.min(F.struct((-F.col("n_of_near")).alias("less"), F.col("near")))
     chosen = both.groupBy("of").agg(F.count("*").alias("n_near"), best.alias("best"))
     found = words.join(chosen, F.col("word") == F.col("of"), "left")
