@@ -8,10 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
-
 from acceptance.tables import ask
-from braid.shared import written
 
 # Same text on both sides, apart from the names of the tables.
 SHARED = {
@@ -207,39 +204,11 @@ PAIRS = {
     ),
 }
 
-# Price ranges of uneven width, one per part size; they overlap, and some cover many bins.
-RANGES = "SELECT DISTINCT p_size AS range_id, p_size * p_size * 150 AS low, p_size * p_size * 150 + 700 * p_size AS high FROM {part}"
-BIN = 5000
-RANGE_JOIN = f"""
-    SELECT o_orderkey, o_totalprice, range_id FROM SALES.tpch.orders
-    JOIN (SELECT range_id, low, high, EXPLODE(SEQUENCE(FLOOR(low / {BIN}), FLOOR(high / {BIN}))) AS bin FROM ranges)
-      ON FLOOR(o_totalprice / {BIN}) = bin{{bounds}}"""
-BOUNDS = " AND o_totalprice >= low AND o_totalprice < high"
-
-
-def range_join(spark: SparkSession, sf_dir: str, bounds: str = BOUNDS) -> DataFrame:
-    """Orders with every price range that they lie in.
-
-    Each range is repeated for every bin that it touches, so that Spark looks up an order's bin instead of comparing it with
-    each range; the bounds decide about what the bin lets through. The ranges are written first: their true size then decides
-    whether they are broadcast.
-    """
-    ranges = written(ask(spark, sf_dir, RANGES.format(part="SALES.tpch.part")), "ranges")
-    return ask(spark, sf_dir, RANGE_JOIN.format(bounds=bounds), {"ranges": ranges})
-
-
 def queries() -> dict:
     texts = {**SHARED, **{key: pair[0] for key, pair in PAIRS.items()}}
-    found = {key: lambda spark, sf_dir, sql=sql: ask(spark, sf_dir, sql) for key, sql in texts.items()}
-    return {**found, "range_join": range_join}
+    return {key: lambda spark, sf_dir, sql=sql: ask(spark, sf_dir, sql) for key, sql in texts.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     shared = {key: re.sub(r"\b(SALES|WEB|CRM|GEO)\.tpch\.", "", sql) for key, sql in SHARED.items()}
-    return {
-        **shared,
-        **{key: pair[1] for key, pair in PAIRS.items()},
-        "range_join": f"""
-        SELECT o_orderkey, o_totalprice, range_id FROM orders
-        JOIN ({RANGES.format(part="part")}) ON o_totalprice >= low AND o_totalprice < high""",
-    }
+    return {**shared, **{key: pair[1] for key, pair in PAIRS.items()}}

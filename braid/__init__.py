@@ -1,9 +1,15 @@
 """One SQL query over tables kept in different stores, answered with Spark."""
 
+from braid.operators.key_filter import filtered_join, key_filtered
 from braid.operators.query import run_query
+from braid.operators.range_join import range_join
 from braid.operators.sinks import write_output, write_outputs
+from braid.operators.skew import skew_join
 from braid.operators.windows import over_groups
 from braid.plans.job import run_job
 from braid.sources import load_inputs, read_source
 
-__all__ = ["load_inputs", "over_groups", "read_source", "run_job", "run_query", "write_output", "write_outputs"]
+__all__ = [
+    "filtered_join", "key_filtered", "load_inputs", "over_groups", "range_join", "read_source", "run_job", "run_query", "skew_join",
+    "write_output", "write_outputs",
+]

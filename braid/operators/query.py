@@ -9,6 +9,8 @@ from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from braid.operators.bind import bind_names, fill_conditions, view_name
+from braid.operators.key_filter import key_filtered
+from braid.spec import numbered
 
 
 def run_query(
@@ -17,11 +19,17 @@ def run_query(
     sql: str,
     params: dict[str, Any] | None = None,
     conditions: list[str] | None = None,
+    key_filters: list[dict] | None = None,
 ) -> DataFrame:
     """The query's result, lazy, with ``frames`` known under their names.
 
-    ``params`` fill ``:name`` markers with values; ``conditions`` fill ``$COND{n}`` with SQL text.
+    ``params`` fill ``:name`` markers with values; ``conditions`` fill ``$COND{n}`` with SQL text. Each of ``key_filters`` has
+    ``input``, ``columns`` and ``keys``, a query over the other inputs: rows of the input whose columns are none of these keys may
+    be left out before they are joined or fetched, which the query must not notice.
     """
+    for number, wanted in enumerate(key_filters or [], start=1):
+        with numbered("key filter", number):
+            frames = _with_key_filter(spark, frames, wanted, params, conditions)
     if not sql or not sql.strip():
         raise ValueError("the query is empty")
     views = {name: view_name(name) for name in frames}
@@ -42,6 +50,19 @@ def run_query(
             spark.catalog.dropTempView(view)
 
 
+def _with_key_filter(spark: SparkSession, frames: dict[str, DataFrame], wanted: dict, params: dict | None, conditions: list[str] | None) -> dict[str, DataFrame]:
+    missing = [key for key in ("input", "columns", "keys") if key not in wanted]
+    if missing:
+        raise ValueError(f"it lacks {', '.join(missing)}")
+    if wanted["input"] not in frames:
+        raise ValueError(f"there is no input '{wanted['input']}'")
+    columns = [wanted["columns"]] if isinstance(wanted["columns"], str) else wanted["columns"]
+    # Placeholders of the main query may be absent here.
+    used = {name: value for name, value in (params or {}).items() if re.search(rf":{name}\b", wanted["keys"])}
+    keys = run_query(spark, frames, wanted["keys"], used or None, conditions if "$COND" in wanted["keys"] else None)
+    return {**frames, wanted["input"]: key_filtered(frames[wanted["input"]], keys, columns)}
+
+
 # What runs programs or methods from within a query, by the names of Spark's plan nodes and expressions.
 _RUNS_SCRIPTS = "ScriptTransformation"
 _CALLS_METHODS = {"CallMethodViaReflection", "TryReflect"}

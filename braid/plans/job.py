@@ -10,12 +10,13 @@ from braid.sources import load_inputs
 
 
 def run_job(spark: SparkSession, job: dict) -> DataFrame:
-    """Run a job dict with ``sql``, ``inputs``, ``outputs`` and, where used, ``dynamic-conditions`` and ``params``."""
+    """Run a job dict with ``sql``, ``inputs``, ``outputs`` and, where used, ``dynamic-conditions``, ``params`` and
+    ``key-filters``."""
     missing = [key for key in ("sql", "inputs", "outputs") if key not in job]
     if missing:
         raise ValueError(f"the job lacks {', '.join(missing)}")
     if not job["outputs"]:
         raise ValueError("at least one output is needed")
     frames = load_inputs(spark, job["inputs"])
-    result = run_query(spark, frames, job["sql"], job.get("params"), job.get("dynamic-conditions"))
+    result = run_query(spark, frames, job["sql"], job.get("params"), job.get("dynamic-conditions"), job.get("key-filters"))
     return write_outputs(result, job["outputs"])
