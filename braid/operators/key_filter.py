@@ -36,7 +36,8 @@ def key_filtered(big: DataFrame, keys: DataFrame, on: list[str], bits_per_key: i
         raise ValueError(f"{len(on)} columns cannot meet {len(keys.columns)} columns of keys")
     names = [f"k{i}" for i in range(len(on))]
     kinds = [big.select(f"`{c}`").limit(0).unionAll(keys.select(f"`{k}`").limit(0)).schema[0].dataType for c, k in zip(on, keys.columns, strict=True)]
-    found = keys.toDF(*names).dropna().select(*[F.col(name).cast(kind).alias(name) for name, kind in zip(names, kinds, strict=True)])
+    whole = reduce(Column.__and__, [F.col(name).isNotNull() for name in names])
+    found = keys.toDF(*names).filter(whole).select(*[F.col(name).cast(kind).alias(name) for name, kind in zip(names, kinds, strict=True)])
     hashed = F.xxhash64(*[plain(F.col(name), kind) for name, kind in zip(names, kinds, strict=True)])
     bounds = [f(name).alias(f"{label}_{name}") for name in names for label, f in (("low", F.min), ("high", F.max))]
     facts = found.agg(F.approx_count_distinct(hashed, 0.02).alias("n"), F.count("*").alias("rows"), *bounds).first()
@@ -65,7 +66,7 @@ def _words(hashes: DataFrame, words: int) -> Column:
     """All words of the filter in order, as one value. Their number is fixed before."""
     set_bits = hashes.select(_number(F.col("h"), words).alias("i"), _mask(F.col("h")).alias("w"))
     every = hashes.sparkSession.range(words).select(F.col("id").cast("int").alias("i"), F.lit(0).cast("bigint").alias("w"))
-    merged = set_bits.groupBy("i").agg(F.bit_or("w").alias("w")).unionAll(every).groupBy("i").agg(F.bit_or("w").alias("w"))
+    merged = set_bits.unionAll(every).groupBy("i").agg(F.bit_or("w").alias("w"))
     return merged.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]).alias("words")).scalar()
 
 

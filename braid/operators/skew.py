@@ -58,9 +58,23 @@ def _has_map(kind: T.DataType) -> bool:
 def heavy_hashes(df: DataFrame, hashed: Column, share: float) -> tuple[dict[int, int], int]:
     """The values of ``hashed`` that about ``share`` of all rows or more have, with their estimated rows, and the number of all
     rows. There are at most 1 / ``share`` of them."""
+    return _heavy([df.select(hashed.alias("h"))], share)[0]
+
+
+def _heavy(columns: list[DataFrame], share: float) -> list[tuple[dict[int, int], int]]:
+    """``heavy_hashes`` of several one-column frames, in one job."""
     most = math.ceil(1 / share)
-    found = df.select(hashed.alias("h")).agg(F.expr(f"approx_top_k(h, {most}, {min(TRACKED * most, 1_000_000)})").alias("top"), F.count("*").alias("n")).first()
-    return {item["item"]: item["count"] for item in found["top"] or [] if item["count"] >= share * found["n"]}, found["n"]
+    facts = [F.expr(f"approx_top_k(h, {most}, {min(TRACKED * most, 1_000_000)})").alias("top"), F.count("*").alias("n")]
+    if len(columns) == 1:
+        found = {0: columns[0].agg(*facts).first()}
+    else:
+        marked = reduce(DataFrame.unionAll, [column.withColumn("side", F.lit(i)) for i, column in enumerate(columns)])
+        found = {row["side"]: row for row in marked.groupBy("side").agg(*facts).collect()}
+    out = []
+    for i in range(len(columns)):
+        top, n = (found[i]["top"] or [], found[i]["n"]) if i in found else ([], 0)
+        out.append(({item["item"]: item["count"] for item in top if item["count"] >= share * n}, n))
+    return out
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", share: float | None = None) -> DataFrame:
@@ -109,16 +123,16 @@ def _named(side: DataFrame, on: list[str], names: list[str], kinds: list[T.DataT
 def _facts(a: DataFrame, b: DataFrame, names: list[str], share: float, tasks: int, distinct: bool) -> DataFrame | None:
     """For every heavy key: into how many pieces the rows of each side go, and whether both sides have it. At most 2 / ``share``
     rows, for that many keys can be heavy."""
-    hashes, n_a = heavy_hashes(a, key_hash(a, names), share)
-    more, n_b = ({}, 0) if distinct else heavy_hashes(b, key_hash(b, names), share)
+    # The right side's distinct keys cannot be heavy.
+    sides = [side.select(key_hash(side, names).alias("h")) for side in ((a,) if distinct else (a, b))]
+    (hashes, n_a), (more, n_b) = [*_heavy(sides, share), ({}, 0)][:2]
     heavy = sorted({*hashes, *more})
     if not heavy:
         return None
-    counts = []
-    for side, count in ((a, "n_a"), (b, "n_b")):
-        whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in names])
-        counts.append(side.filter(key_hash(side, names).isin(heavy) & whole).groupBy(*names).agg(F.count("*").alias(count)))
-    found = counts[0].join(counts[1], names, "full").na.fill(0, ["n_a", "n_b"]).collect()
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in names])
+    held = [side.filter(key_hash(side, names).isin(heavy) & whole).select(*names, F.lit(i).alias("side")) for i, side in enumerate((a, b))]
+    both = held[0].unionAll(held[1]).groupBy(*names).agg(F.sum(1 - F.col("side")).alias("n_a"), F.sum("side").alias("n_b"))
+    found = both.collect()
     rows = []
     for row in found:
         if distinct:
