@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braid.llm.rolling import slices
 from braid.llm.word_tokens import TextEncoder
 from braid.shared import written
 
@@ -38,35 +37,31 @@ SHARD_BYTES = 8 << 20
 
 
 @cache
-def _encoder(path: str) -> TextEncoder:
-    return TextEncoder(path)
+def _encoder(path: str, end_id: int) -> TextEncoder:
+    return TextEncoder(path, end_id)
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int, shards: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """id, source, shard, n_tokens and ids (little-endian unsigned 32-bit) of every row."""
+    """id, source, shard, n_tokens and ids (little-endian unsigned, of 16 bits where these suffice, else of 32) of every row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [np.append(x, end_id).astype("<u4") for x in _encoder(path).encode(part.column("text").fill_null("").to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("source"), part.column("shard"), pa.array([len(x) for x in ids], pa.int64()), pa.array([_narrow(x) for x in ids], pa.binary())],
-                    names=["id", "source", "shard", "n_tokens", "ids"],
-                )
+            for first, ids, at in _encoder(path, end_id).encode_blocks(batch.column("text"), ended=True):
+                part = batch.slice(first, len(at) - 1)
+                offsets = pa.py_buffer((at * ids.itemsize).astype(np.int32))
+                held = pa.Array.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("source"), part.column("shard"), pa.array(np.diff(at)), held], names=["id", "source", "shard", "n_tokens", "ids"])
+        # Workers go on to other stages: they should not keep what this one needed.
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, f"id {id_type}, source string, shard bigint, n_tokens bigint, ids binary")
 
 
-def _narrow(ids: np.ndarray) -> bytes:
-    """Two bytes an id where they suffice, after a byte that says so."""
-    return b"\2" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\4" + ids.tobytes()
-
-
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype("<u4")
 
 
 def fill_windows(sizes: list[list[int]], shares: np.ndarray, deficits: np.ndarray, length: int, quantum: int) -> Iterator[list[tuple[int, int, int, int]]]:
@@ -118,7 +113,8 @@ def _pack_shard(rows: pa.Table, credit: dict, length: int, quantum: int) -> dict
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i], data[i]))
     names = sorted(credit, key=lambda s: (s is None, s or ""))
     queues = [[i for i in order if sources[i] == name] for name in names]
-    tokens = {i: _wide(data[i]) for i in order}
+    sizes = rows.column("n_tokens").to_pylist()
+    tokens = {i: _wide(data[i], sizes[i]) for i in order}
     shares, deficits = (np.array([credit[name][k] for name in names]) for k in (0, 1))
     out: dict[str, list] = {name: [] for name in ("id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")}
     sequence_id = shard << 32
