@@ -3,6 +3,7 @@
 import base64
 import math
 import random
+import time
 
 import brute
 import numpy as np
@@ -10,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
-from brute import SCHEMA
+from brute import SCHEMA, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -428,3 +429,29 @@ def test_owners_tell_examples_from_live_secrets(spark):
     assert clean[0].text == "[SECRET]" and clean[1].text == "see [SECRET]' é" and clean[8].text == "id [SECRET] here"
     assert all(clean[i].text == texts[i] for i in (*range(2, 8), *range(9, 14)))
     assert all(r.n_chars == len(r.text) for r in clean.values()) and len(clean) == len(texts)
+
+
+def test_copies_and_large_sources_in_the_verdict(spark):
+    """A credential in copies of one text over many sources stays live; an example in many texts of one source does not."""
+    copied, spread, example, few = (f"password = {word}Value{i}" for i, word in enumerate(("copied", "spread", "example", "few")))
+    rows = [(i, f"the same page: {copied}", "en", f"src{i}") for i in range(8)]
+    rows += [(10 + i, f"page {i}: {spread}", f"l{i}", "hot") for i in range(secret_scan.EXAMPLE_REPOS)]
+    rows += [(100 + i, f"page {i}: {example}", "en", "hot") for i in range(secret_scan.EXAMPLE_TEXTS)]
+    rows += [(200 + i, f"page {i}: {few}", "en", "hot") for i in range(secret_scan.EXAMPLE_TEXTS - 1)]
+    found = {r.doc_id: r.spans for r in secret_scan.secrets(frame(spark, rows)).collect()}
+    assert {(s.owners, s.repos, s.texts, s.live) for i in range(8) for s in found[i]} == {(1, 1, 1, True)}
+    assert [found[i][0].live for i in (10, 100, 200)] == [False, False, True]
+
+
+def test_many_matches_in_one_text(spark):
+    """1 MB of hexadecimal strings in one text, and a match that is longer than a block."""
+    rng = random.Random(5)
+    words = [f"{rng.getrandbits(96):024x}" for _ in range(40_000)]
+    long = "f0" * (secret_scan.MASK_BLOCK + 5)
+    df = frame(spark, [(1, "é ".join(words), "en", "a"), (2, f"x{chr(0x1F642)} {long} y {words[0]} z", "en", "b"), (3, None, None, None)])
+    began = time.monotonic()
+    found = {r.doc_id: [(s.start, s.end, s.kind) for s in r.spans] for r in secret_scan.secrets(df).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.without_secrets(df).collect()}
+    assert time.monotonic() - began < 60
+    assert found[1] == [(26 * i, 26 * i + 24, "hex") for i in range(len(words))] and found[3] == []
+    assert clean == {1: "é ".join(["[SECRET]"] * len(words)), 2: f"x{chr(0x1F642)} [SECRET] y [SECRET] z", 3: None}
