@@ -1,9 +1,10 @@
 """Quality rules: fixed rules and thresholds that adapt to each language and source.
 
 Every text is measured (words, symbols, repeated lines, repeated 5-word windows). Per language and source, mergeable
-quantile sketches of the measures give fences: a text is dropped when a measure lies far beyond what is usual there. The
-sketches are partial aggregates, so a source that holds most rows is summed up task by task; the table of fences has one
-row per language and source and meets the texts in an ordinary join, broadcast only if Spark finds it small.
+quantile sketches of the measures give fences: a text is dropped when a measure lies far beyond what is usual there. A small
+group's quantiles are drawn towards its language's and the corpus's. The sketches are counts per bin, so a source that holds most
+rows is summed up task by task, and two runs give the same fences; the table of fences has one row per language and source and
+meets the texts in an ordinary join, broadcast only if Spark finds it small.
 
 Null text is empty text. A null language or source is a group of its own. Repeated rows are judged alike. Without rows
 there are no fences and no results.
@@ -11,15 +12,17 @@ there are no fences and no results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from braid.llm.rolling import IS_SPACE, blocks, window_hashes
+from braid.shared import written
 
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -86,58 +89,99 @@ def measured(rows: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("m", struct)]))
 
 
-# The rates that adapt: name, measure as a share, which side is bad, the least distance from the median at which a text may be
-# called unusual, so that a group of very even texts does not drop its slightly less even ones, and by how much a text's own
-# length widens the fence: a mean over few words strays more, and two repeated lines, or one passage of fifteen words that
-# stands twice, are a large share of a short text. In a longer text both rates reject below the fixed rule's 20 %.
-def _rates() -> list[tuple[str, Column, bool, bool, float, Column]]:
+# The rates that adapt: name, measure as a share, the quantiles that stand for what is usual (low or none, middle, high), how many
+# times their distance beyond them is still usual, and by how much a text's own length widens the fence: a mean over few words
+# strays more, and two repeated lines, or one passage of twenty words that stands twice, are a large share of a short text.
+# Length and symbols of junk may fill a good part of a group, so that quartiles speak for the rest there. Repetition beyond a fifth
+# of a text is gone already, and most texts have none, so that its tail has to speak.
+def _rates() -> list[tuple[str, Column, tuple[float | None, float, float], float, Column]]:
     words, chars, lines = (F.greatest(F.col(f"m.{name}"), F.lit(1)) for name in ("n_words", "word_chars", "n_lines"))
     return [
-        ("word_length", F.col("m.word_chars") / words, True, True, 2.0, 8 / F.sqrt(words)),
-        ("symbol_rate", F.col("m.n_symbols") / chars, False, True, 0.05, F.lit(0.0)),
-        ("dup_line_rate", F.col("m.n_dup_lines") / lines, False, True, 0.1, 2 / lines),
-        ("repeat_rate", F.col("m.n_repeat_words") / words, False, True, 0.05, 30 / words),
+        ("word_length", F.col("m.word_chars") / words, (0.25, 0.25, 0.75), 3.0, 10 / F.sqrt(words)),
+        ("symbol_rate", F.col("m.n_symbols") / chars, (None, 0.25, 0.75), 3.0, 1 / F.sqrt(chars)),
+        ("dup_line_rate", F.col("m.n_dup_lines") / lines, (None, 0.5, 0.95), 2.0, 2 / lines),
+        ("repeat_rate", F.col("m.n_repeat_words") / words, (None, 0.5, 0.95), 2.0, 40 / words),
     ]
 
 
+# A sketch is a count per bin; a bin's upper edge is this much above its lower one, and nothing at all has a bin of its own. Counts
+# are whole numbers, so that sketches merge to the same result in any order; a group has some 2,000 bins a rate at most.
+BIN_RATIO = 1.01
+_NOTHING = -(2**30)
+# A group counts as this many texts of its language more, and a language as this many of the corpus.
+PRIOR_TEXTS = 10
+
+
 def base_failed() -> Column:
     """The fixed rules: too few words, or too many in repeated windows."""
     return (F.col("m.n_words") < 10) | (100 * F.col("m.n_repeat_words") > 20 * F.col("m.n_words"))
 
 
-def fences(rows: DataFrame, k: int = 200, spread: float = 3.0) -> DataFrame:
-    """Per group (``g0``, ``g1``), the lowest and highest usual value of each rate: quartiles of a mergeable sketch, widened by
-    ``spread`` times their distance. Texts that fail the fixed rules do not shape the fences. ``k`` sets the sketch's accuracy."""
-    rates = _rates()
-    sketched = rows.filter(~base_failed()).groupBy("g0", "g1").agg(*[F.kll_sketch_agg_double(rate, F.lit(k)).alias(name) for name, rate, *_ in rates])
-    wanted = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
-    quartiles = sketched.select("g0", "g1", *[F.kll_sketch_get_quantile_double(F.col(name), wanted).alias(name) for name, *_ in rates])
+def sketches(rows: DataFrame) -> DataFrame:
+    """Per group (``g0``, ``g1``), rate and bin, the number of texts. Texts that fail the fixed rules do not count."""
+    bins = []
+    for name, rate, *_ in _rates():
+        number = F.ceil(F.log(F.when(rate > 0, rate)) / math.log(BIN_RATIO)).cast("int")
+        bins.append(F.struct(F.lit(name).alias("name"), F.coalesce(number, F.lit(_NOTHING)).alias("bin")))
+    each = rows.filter(~base_failed()).select("g0", "g1", F.inline(F.array(*bins)))
+    return each.groupBy("g0", "g1", "name", "bin").agg(F.count("*").alias("n"))
+
+
+def quantiles(sketched: DataFrame, groups: list[str]) -> DataFrame:
+    """Per group and rate: ``n`` texts and ``q``, the low, middle and high quantile of the rate in the merged sketches."""
+    merged = sketched.groupBy(*groups, "name", "bin").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*groups, "name")
+    so_far = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    merged = merged.withColumn("so_far", so_far).withColumn("all", F.sum("n").over(group))
+    edge = F.when(F.col("bin") == _NOTHING, F.lit(0.0)).otherwise(F.pow(F.lit(BIN_RATIO), F.col("bin")))
+    wanted = F.lit(None).cast("array<double>")
+    for name, _, at, _, _ in _rates():
+        wanted = F.when(F.col("name") == name, F.array(*[F.lit(x).cast("double") for x in at])).otherwise(wanted)
+    merged = merged.select(*groups, "name", "all", "so_far", edge.alias("edge"), wanted.alias("at"))
+    reached = [F.min(F.when(F.col("so_far") >= F.col("at")[i] * F.col("all"), F.col("edge"))) for i in range(3)]
+    return merged.groupBy(*groups, "name").agg(F.first("all").alias("n"), F.array(*reached).alias("q"))
+
+
+def fences(sketched: DataFrame, prior: int = PRIOR_TEXTS) -> DataFrame:
+    """Per group (``g0``, ``g1``), the lowest and highest usual value of each rate, from the group's quantiles drawn towards its
+    language's, and these towards the corpus's, the more so the fewer texts there are."""
+
+    def drawn(q: Column, n: Column, towards: Column) -> Column:
+        return F.zip_with(q, towards, lambda x, y: (n * x + prior * y) / (n + prior))
+
+    corpus = quantiles(sketched, []).select(F.col("name").alias("corpus_name"), F.col("q").alias("corpus_q"))
+    language = quantiles(sketched, ["g0"]).join(corpus, F.col("name") == F.col("corpus_name"))
+    language = language.select(F.col("g0").alias("l0"), F.col("name").alias("l_name"), drawn(F.col("q"), F.col("n"), F.col("corpus_q")).alias("l_q"))
+    both = F.col("g0").eqNullSafe(F.col("l0")) & (F.col("name") == F.col("l_name"))
+    found = quantiles(sketched, ["g0", "g1"]).join(language, both)
+    found = found.select("g0", "g1", "name", drawn(F.col("q"), F.col("n"), F.col("l_q")).alias("q"))
     limits = []
-    for name, _, _, _, least, _ in rates:
-        q = F.col(name)
-        reach = spread * (q[2] - q[0])
-        limits.append(F.struct(F.least(q[0] - reach, q[1] - least).alias("low"), F.greatest(q[2] + reach, q[1] + least).alias("high")).alias(name))
-    return quartiles.select("g0", "g1", F.struct(*limits).alias("fence"))
+    for name, _, _, spread, _ in _rates():
+        low, middle, high = (F.col("q")[i] for i in range(3))
+        limit = F.struct((low - spread * (high - low)).alias("low"), (high + spread * (high - middle)).alias("high"))
+        limits.append(F.max(F.when(F.col("name") == name, limit)).alias(name))
+    return found.groupBy("g0", "g1").agg(F.struct(*limits).alias("fence"))
 
 
-def judged(docs: DataFrame, text_col: str = "text", groups: tuple[str, str] = ("lang", "source"), k: int = 200, spread: float = 3.0) -> DataFrame:
+def judged(docs: DataFrame, text_col: str = "text", groups: tuple[str, str] = ("lang", "source"), prior: int = PRIOR_TEXTS) -> DataFrame:
     """Per row of ``docs``: ``row`` (all its columns), ``m`` (its measures), ``base_failed`` and ``kept``.
 
-    The texts are measured twice, once for the fences and once for the verdict, rather than shuffled or stored.
+    The texts are measured twice, once for the sketches and once for the verdict, rather than shuffled or stored. The sketches,
+    some bins for each group, are written once.
     """
 
     def rows(columns: list[str]) -> DataFrame:
         found = measured(docs.select(F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)]).alias("row")), text_col)
         return found.select("*", *[F.col(f"row.`{g}`").alias(f"g{i}") for i, g in enumerate(groups)])
 
-    limits = fences(rows([text_col, *groups]).drop("row"), k, spread).select(F.col("g0").alias("f0"), F.col("g1").alias("f1"), "fence")
+    sketched = written(sketches(rows([text_col, *groups]).drop("row")), "sketches")
+    limits = fences(sketched, prior).select(F.col("g0").alias("f0"), F.col("g1").alias("f1"), "fence")
     out = rows(docs.columns).join(limits, F.col("g0").eqNullSafe(F.col("f0")) & F.col("g1").eqNullSafe(F.col("f1")), "left")
     usual = F.lit(True)
-    for name, rate, below, above, _, more in _rates():
-        if below:
+    for name, rate, (low, _, _), _, more in _rates():
+        if low is not None:
             usual &= F.coalesce(rate >= F.col(f"fence.{name}.low") - more, F.lit(True))
-        if above:
-            usual &= F.coalesce(rate <= F.col(f"fence.{name}.high") + more, F.lit(True))
+        usual &= F.coalesce(rate <= F.col(f"fence.{name}.high") + more, F.lit(True))
     return out.select("row", "m", base_failed().alias("base_failed"), (~base_failed() & usual).alias("kept"))
 
 

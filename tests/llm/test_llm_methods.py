@@ -4,6 +4,7 @@ import base64
 import math
 import random
 import time
+from collections import Counter
 
 import brute
 import numpy as np
@@ -455,3 +456,47 @@ def test_many_matches_in_one_text(spark):
     assert time.monotonic() - began < 60
     assert found[1] == [(26 * i, 26 * i + 24, "hex") for i in range(len(words))] and found[3] == []
     assert clean == {1: "é ".join(["[SECRET]"] * len(words)), 2: f"x{chr(0x1F642)} [SECRET] y [SECRET] z", 3: None}
+
+
+def plain_fences(measures):
+    """Fences from (lang, source, {name: rate}) of the texts that pass the fixed rules, without sketches."""
+    quantile = lambda values, p: None if p is None else sorted(values)[max(math.ceil(p * len(values) - 1e-9), 1) - 1]
+    draw = lambda n, x, y: None if x is None else (n * x + quality.PRIOR_TEXTS * y) / (n + quality.PRIOR_TEXTS)
+    out = {}
+    for name, _, at, spread, _ in quality._rates():
+        level = lambda *key: [m[name] for *g, m in measures if g[: len(key)] == list(key)]
+        for lang, source in {(a, b) for a, b, _ in measures}:
+            q = [quantile(level(), p) for p in at]
+            for key in ((lang,), (lang, source)):
+                q = [draw(len(level(*key)), quantile(level(*key), p), x) for p, x in zip(at, q, strict=True)]
+            low = None if q[0] is None else q[0] - spread * (q[2] - q[0])
+            out[lang, source, name] = (low, q[2] + spread * (q[2] - q[1]))
+    return out
+
+
+def test_fences_follow_the_groups(spark):
+    """Against plain quantiles up to a bin's width; the same bytes in every run; groups differ, and hold labelled junk."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rates = {name: rate for name, rate, *_ in quality._rates()}
+    rows = quality.measured(docs.select(F.struct("text", "lang", "source").alias("row"))).withColumn("g0", F.col("row.lang")).withColumn("g1", F.col("row.source"))
+    passed = rows.filter(~quality.base_failed()).select("g0", "g1", F.struct(*[x.alias(name) for name, x in rates.items()]).alias("m")).collect()
+    wanted = plain_fences([(r.g0, r.g1, r.m.asDict()) for r in passed])
+    runs = [quality.fences(quality.sketches(r)).collect() for r in (rows, rows.repartition(7), rows.orderBy(F.rand(3)))]
+    assert sorted(map(repr, runs[0])) == sorted(map(repr, runs[1])) == sorted(map(repr, runs[2]))
+    found = {(r.g0, r.g1, name): (r.fence[name].low, r.fence[name].high) for r in runs[0] for name in rates}
+    assert found.keys() == wanted.keys()
+    for key, (low, high) in wanted.items():
+        assert found[key][1] == pytest.approx(high, rel=0.08, abs=1e-9)
+        assert found[key][0] is low is None or found[key][0] == pytest.approx(low, rel=0.1)
+    for name, least in (("word_length", 0.5), ("repeat_rate", 0.5)):
+        highs = [high for (_, _, n), (_, high) in found.items() if n == name]
+        assert len(set(highs)) > least * len(highs)
+
+
+def test_labelled_texts(spark):
+    """Junk that passes the fixed rules goes, and no text labelled as good does."""
+    folder = "/root/testdata/sf0.1"
+    found = quality.quality(spark.read.parquet(f"{folder}/documents.parquet")).filter("NOT base_failed AND NOT kept")
+    dropped = Counter(r.quality for r in found.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect())
+    assert dropped[1] == 0 and dropped[0] >= 295
