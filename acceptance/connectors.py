@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from acceptance.tables import CSV, ask, copied, declared, inputs_for, parquet, table
-from braid import load_inputs, read_source, run_job, run_query, write_output, write_outputs
+from braid import load_inputs, read_source, run_job, run_query, write_once, write_output, write_outputs
 from braid.operators.sinks import lowercase_columns
 from braid.shared import fresh_path
 
@@ -249,6 +249,15 @@ def sink_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(spark, targets, result)
 
 
+def sink_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two outputs of a run that is called three times."""
+    targets = {kind: {**_target(spark, kind), "append": True} for kind in ("parquet", "json")}
+    run_id = f"spenders_{uuid.uuid4().hex}"
+    for _ in range(3):
+        result = write_once(ask(spark, sf_dir, BIG_SPENDERS.format(orders=ORDERS)), list(targets.values()), run_id)
+    return _tagged(spark, targets, result)
+
+
 JOB = """
     SELECT c_mktsegment, o_orderpriority, SUM(n) AS n_orders, MAX(top) AS top
     FROM (SELECT o_custkey, o_orderpriority, COUNT(*) AS n, MAX(o_totalprice) AS top
@@ -276,7 +285,7 @@ def queries() -> dict:
             scan_parquet, scan_csv_declared, scan_json_declared, scan_csv_inferred, scan_json_inferred, scan_files,
             scan_catalog_table, typed_schema_all_types, bind_database_names, bind_file_names, bind_isolation,
             dynamic_conditions, bind_plain_names, read_only_guard, sink_parquet, sink_csv, sink_json_append, sink_json_nullfill,
-            sink_repartition, sink_fanout, job_end_to_end,
+            sink_repartition, sink_fanout, sink_once, job_end_to_end,
         )
     } | {"lowercase_columns": lowercase_output}
 
@@ -315,6 +324,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_json_nullfill": "SELECT o_orderkey, COALESCE(NULLIF(o_orderstatus, 'F'), 'null') AS status, "
         "COALESCE(NULLIF(o_custkey, 1), -1) AS custkey FROM orders",
         "sink_repartition": "SELECT 3 + COUNT(*) // 5000000 AS files, COUNT(*) AS n FROM lineitem",
+        "sink_once": tagged(spenders, "sink", ("parquet", "json")),
         "sink_fanout": tagged(spenders, "sink", ("as_parquet", "as_json", "as_csv")),
         "job_end_to_end": tagged(job, "sink", ("as_parquet", "as_json")),
         "lowercase_columns": customer,

@@ -30,7 +30,7 @@ def write_outputs(df: DataFrame, outputs: list[dict]) -> DataFrame:
         raise ValueError("at least one output is needed")
     for number, output in enumerate(outputs, start=1):
         with numbered("output", number):
-            _check(output)
+            check_output(output)
     kept = df if len(outputs) == 1 else _kept(df)
     for output in outputs:
         write_output(kept, output)
@@ -46,7 +46,7 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def write_output(df: DataFrame, output: dict) -> None:
-    kind = _check(output)
+    kind = check_output(output)
     if flag(output, "lowercase-columns"):
         df = lowercase_columns(df)
     if flag(output, "null-fill"):
@@ -54,14 +54,14 @@ def write_output(df: DataFrame, output: dict) -> None:
     files = get(output, "output-partitions-count", None)
     if files is not None:
         df = df.repartition(int(files))
-    writer = df.write.mode(_mode(output))
+    writer = df.write.mode(mode_of(output))
     if kind in FILE_SINKS:
         _file_writer(writer, output).save(file_path(output))
     else:
         writer.format("jdbc").options(**database_options(output, kind)).save()
 
 
-def _check(output: dict) -> str:
+def check_output(output: dict) -> str:
     """The kind of store, after a look at all that can be wrong with an output before anything is written."""
     kind = store_type(output, "datasink")
     if kind in FILE_SINKS:
@@ -71,11 +71,11 @@ def _check(output: dict) -> str:
         database_options(output, kind)
     else:
         raise ValueError(f"unsupported output type '{kind}'")
-    _mode(output)
+    mode_of(output)
     return kind
 
 
-def _mode(output: dict) -> str:
+def mode_of(output: dict) -> str:
     """``mode``, or the yes/no key ``append``; with neither, an existing target is an error."""
     chosen = get(output, "mode", None)
     if chosen is None and get(output, "append", None) is not None:

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from acceptance import connectors, joins, relational, windows
+from acceptance import checked, connectors, counts, joins, relational, windows
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -40,7 +40,7 @@ def check(spark, folder, key, **more):
     assert in_order(rows) == in_order(wanted)
 
 
-KEYS = sorted(key for part in (connectors, joins, relational, windows) for key in part.queries())
+KEYS = sorted(key for part in (checked, connectors, counts, joins, relational, windows) for key in part.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

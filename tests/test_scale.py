@@ -89,8 +89,8 @@ def test_partitions_are_pruned(spark, sf_dir, tmp_path):
 
 
 # What goes through the driver or to all tasks, and why it is small: heavy keys and cuts number a few for each task, as their share
-# of all rows says; a tree of bins has five levels.
-BOUNDED = {"operators/skew.py": [".collect", ".collect", "broadcast("], "operators/windows.py": ["broadcast(", ".collect", "broadcast("], "operators/range_join.py": [".collect"]}
+# of all rows says; a tree of bins has five levels; a database gives one cut for each task that the input asks for.
+BOUNDED = {"sources/jdbc.py": [".collect"], "operators/skew.py": [".collect", ".collect", "broadcast("], "operators/windows.py": ["broadcast(", ".collect", "broadcast("], "operators/range_join.py": [".collect"]}
 
 
 def test_nothing_large_goes_through_the_driver_or_python():

@@ -198,6 +198,9 @@ class Reads:
     def first(self):
         return self.answer
 
+    def collect(self):
+        return self.answer
+
     def jdbc(self, url, table, predicates, properties):
         self.calls.append({"url": url, "table": table, "predicates": predicates, **properties})
 
@@ -253,6 +256,17 @@ def test_predicates_split_a_read():
     assert spark.calls[0]["predicates"] == ["k = 1", "k <> 1 OR k IS NULL"] and spark.calls[0]["user"] == "u"
 
 
+def test_a_split_by_depth_asks_for_its_cuts():
+    spark = Reads([(3, 70), (1, 5), (2, 50), (4, 70)])
+    jdbc.read_table(spark, db("jdbc:mysql://h", split="depth", **{"partition-column": "k", "num-partitions": 4}), "mysql")
+    asked, read = spark.calls
+    assert "NTILE(4) OVER (ORDER BY k)" in asked["query"] and "FROM d.t WHERE k IS NOT NULL" in asked["query"] and "dbtable" not in asked
+    assert read["predicates"] == ["k < 50 OR k IS NULL", "k >= 50 AND k < 70", "k >= 70"] and read["table"] == "d.t"
+    for more in ({"split": "depth"}, {"split": "even", "num-partitions": 1}):
+        with pytest.raises(ValueError, match="split"):
+            jdbc.read_table(Reads(), db("jdbc:mysql://h", **more), "mysql")
+
+
 def test_an_input_says_how_it_is_split():
     """The rule does not look at the table: an answer of one row or of 10^9 is never asked for."""
     own = {"options": {"partitionColumn": "k", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}}
