@@ -66,6 +66,10 @@ def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return points[keep], at[np.append(starts, len(points))]
 
 
+# Characters that are scored at a time.
+STRIP = 1 << 18
+
+
 def gram_hashes(points: np.ndarray, order: int) -> np.ndarray:
     """A hash of the ``order`` characters that end at each place; the first ``order - 1`` places take what there is."""
     padded = np.concatenate([np.zeros(order - 1, np.uint64), points.astype(np.uint64)])
@@ -88,14 +92,28 @@ class Model:
     scale: float = 1.0
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per character in each language, and the number of letters, of each text."""
+        """Cross-entropy per character in each language, and the number of letters, of each text. Characters are scored in strips,
+        so that memory beyond the texts' own does not grow with their length."""
         points, at = characters(texts)
-        logs = np.zeros((len(points), len(self.languages)), np.float32)
-        todo = np.flatnonzero(np.isin(np.arange(len(points)), at[:-1], invert=True))
+        sums = np.zeros((len(texts), len(self.languages)))
+        for low in range(0, len(points), STRIP):
+            high = min(low + STRIP, len(points))
+            first, last = np.searchsorted(at, low, "right") - 1, np.searchsorted(at, high, "left")
+            sums[first:last] += np.add.reduceat(self._logs(points, at, low, high), np.maximum(at[first:last], low) - low, axis=0)
+        letters = np.add.reduceat(points != 32, at[:-1], dtype=np.int64) if len(texts) else np.zeros(0, np.int64)
+        return -sums / np.maximum(np.diff(at) - 1, 1)[:, None], letters
+
+    def _logs(self, points: np.ndarray, at: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Log probabilities of the characters from ``low`` to ``high``, 0 for the blank that begins a text."""
+        begin = max(low - ORDER + 1, 0)
+        part = points[begin:high]
+        place = np.arange(begin, high)
+        place -= at[np.searchsorted(at, place, "right") - 1]
+        logs = np.zeros((len(part), len(self.languages)), np.float32)
+        todo = low - begin + np.flatnonzero(place[low - begin :] > 0)
         weight = np.zeros((len(todo), len(self.languages)), np.float32)
-        place = np.arange(len(points)) - np.repeat(at[:-1], np.diff(at))
         for order, (hashes, values), (contexts, backs) in zip(range(ORDER, 0, -1), self.grams, self.back, strict=True):
-            own = gram_hashes(points, order)[todo]
+            own = gram_hashes(part, order)[todo]
             which, hit = _find(hashes, own)
             hit &= place[todo] >= order - 1
             logs[todo[hit]] = weight[hit] + values[which[hit]]
@@ -103,12 +121,10 @@ class Model:
             if order == 1:
                 logs[todo] = weight + self.floor
             elif len(todo):
-                which, known = _find(contexts, gram_hashes(points, order - 1)[todo - 1])
+                which, known = _find(contexts, gram_hashes(part, order - 1)[todo - 1])
                 known &= place[todo] >= order - 1
                 weight[known] += backs[which[known]]
-        sums = np.add.reduceat(logs, at[:-1], axis=0) if len(texts) else logs
-        letters = np.add.reduceat((points != 32).astype(np.int64), at[:-1]) if len(texts) else np.zeros(0, np.int64)
-        return -sums / np.maximum(np.diff(at) - 1, 1)[:, None], letters
+        return logs[low - begin :]
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         if not self.languages:

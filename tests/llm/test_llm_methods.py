@@ -500,3 +500,16 @@ def test_labelled_texts(spark):
     found = quality.quality(spark.read.parquet(f"{folder}/documents.parquet")).filter("NOT base_failed AND NOT kept")
     dropped = Counter(r.quality for r in found.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect())
     assert dropped[1] == 0 and dropped[0] >= 295
+
+
+def test_strips_score_as_whole_texts_do(spark, monkeypatch):
+    rng = random.Random(3)
+    prose = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(n))
+    rows = [(i, "ab"[i % 2] * 2, prose(["abcde", "cdefg"][i % 2], 40)) for i in range(60)]
+    model = langid.fit(spark.createDataFrame(rows, "key bigint, lang string, text string"))
+    texts = [prose("abcdefgh", n) for n in (0, 1, 700, 3, 0, 90)] + ["", "é", "a" * 500]
+    whole, letters = model.entropies(texts)
+    for strip in (1, 2, 3, 7, 64, 1000):
+        monkeypatch.setattr(langid, "STRIP", strip)
+        found, counted = model.entropies(texts)
+        assert np.allclose(found, whole, rtol=1e-4) and (counted == letters).all()
